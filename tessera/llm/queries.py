@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import rules
+from tessera.llm import rules, simhash
 from tessera.llm.common import table
 
 
@@ -12,7 +12,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules,)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op8_quality_rules, op10_simhash)}
 _STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 ORACLES = {
     "op8_quality_rules": rf"""
