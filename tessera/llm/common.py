@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows that go to a Python worker at once; bounds the memory of a batch of long texts.
@@ -50,3 +50,16 @@ def local_path(uri: str) -> str | None:
     if uri.startswith("file:"):
         return "/" + uri[5:].lstrip("/")
     return uri if os.path.isabs(uri) else None
+
+
+def labelled_sample(rows: DataFrame, label: str, per_label: int, total: int, max_chars: int) -> list:
+    """At most per_label rows (doc_id, text, label) of each label and about total in all, in an order fixed by id and text.
+
+    The bound is the caller's documented parameter; only texts of up to max_chars are taken, so what comes to the
+    driver is at most total * max_chars characters. Ids alone are ranked; texts are then fetched for those taken.
+    """
+    fit = rows.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.length("text").between(1, max_chars)))
+    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = fit.select("doc_id", label).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label)
+    ids = ids.orderBy("rank", label).limit(total).select("doc_id").distinct()
+    return fit.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]).limit(total).select("doc_id", "text", label).collect()

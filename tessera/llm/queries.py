@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import rules, simhash
-from tessera.llm.common import table
+from tessera.llm import langid, rules, simhash, spbpe
+from tessera.llm.common import fold, table
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4) == 2
+    got = langid.predict(docs, langid.fit_on(docs, ~held_out))
+    return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spbpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
 _STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 ORACLES = {
     "op8_quality_rules": rf"""

@@ -81,11 +81,11 @@ class Model:
         self.begin, self.end = self.pieces.index("<s>"), self.pieces.index("</s>")
         self.score = {p: self.scores[i] for p, i in self.ids.items()}
         self.cuts_lines = not any("\n" in p for p in self.ids)
-        self._whole: dict[str, bool] = {}
         self._fits: dict[tuple[str, str], bool] = {}
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
-            self.automaton.add_word(p, len(p))
+            if len(p) > 1 and self.merged(p) == [p]:  # others never result from merging
+                self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.bytes_of = [self._bytes(i) for i in range(len(self.pieces))]
 
@@ -102,17 +102,11 @@ class Model:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def whole(self, piece: str) -> bool:
-        """Whether merging the piece's characters gives the piece."""
-        if (got := self._whole.get(piece)) is None:
-            got = self._whole[piece] = self.merged(piece) == [piece]
-        return got
-
     def fits(self, left: str, right: str) -> bool:
         if (got := self._fits.get((left, right))) is None:
             if len(self._fits) > 2_000_000:
                 self._fits.clear()
-            got = self._fits[left, right] = self.merged(left + right) == [left, right]
+            got = self._fits[left, right] = not left or self.merged(left + right) == [left, right]
         return got
 
     def symbols(self, chunk: str) -> list[str]:
@@ -122,37 +116,34 @@ class Model:
             return [chunk]
         at: list[list[int]] = [[1] for _ in range(n)]  # lengths that match at each place, ascending
         for end, size in self.automaton.iter(chunk):
-            if size > 1:
-                at[end - size + 1].append(size)
+            at[end - size + 1].append(size)
+        fits, known = self.fits, self._fits.get
         open_ = (1 << (n + 1)) - 1  # bitfield: places from which the rest may still be encoded
         out: list[str] = []
         left: list[int] = []  # for each symbol, which of its place's lengths it took
-        pos, k = 0, len(at[0]) - 1
+        pos, k, last = 0, len(at[0]) - 1, ""
         while True:
-            found = False
             sizes = at[pos]
             while k >= 0:
                 end = pos + sizes[k]
                 if open_ >> end & 1:
                     s = chunk[pos:end]
-                    if (sizes[k] == 1 or self.whole(s)) and (not out or self.fits(out[-1], s)):
-                        found = True
+                    ok = known((last, s))
+                    if ok or ok is None and fits(last, s):
                         break
                 k -= 1
-            if found:
+            if k >= 0:
                 out.append(s)
-                left.append(k)
-                pos = end
-                if pos == n:
+                if end == n:
                     return out
-                k = len(at[pos]) - 1
+                left.append(k)
+                pos, last, k = end, s, len(at[end]) - 1
             else:
-                # a place fails for all symbols that reach it only if the one before it was the only way in
                 open_ &= ~(1 << pos)
                 if not out:
                     raise AssertionError("every text has an encoding")
                 pos -= len(out.pop())
-                k = left.pop() - 1
+                k, last = left.pop() - 1, out[-1] if out else ""
 
     def ids_of(self, chunk: str) -> list[int]:
         """Ids of a chunk. Long ones (no spaces) go through the same search; their cost is linear but for backtracking."""
@@ -186,37 +177,44 @@ class Codec:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.model = Model(f.read())
-        self.kept: dict[str, tuple[bytes, bytes]] = {}
+        self.marked: dict[str, tuple[bytes, bytes]] = {}  # by a word, with a space mark before it
+        self.bare: dict[str, tuple[bytes, bytes]] = {}  # by a chunk as it is
         self.pattern = CHUNKS if self.model.cuts_lines else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
-    def chunk(self, c: str) -> tuple[bytes, bytes]:
-        if len(self.kept) >= KEEP:
-            self.kept.clear()
-        if "\n" in c and len(c) > 1 and self.model.cuts_lines:
-            parts = [self.kept.get(x) or self.chunk(x) for x in self.pattern.findall(c)]
-            return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-        ids = self.model.ids_of(c)
+    def _make(self, table: dict, key: str, chunk: str) -> tuple[bytes, bytes]:
+        ids = self.model.ids_of(chunk)
         got = struct.pack(f"<{len(ids)}I", *ids), self.model.decode_bytes(ids)
-        if len(c) <= 64:
-            self.kept[c] = got
+        if len(key) <= 64:
+            if len(table) >= KEEP:
+                table.clear()
+            table[key] = got
         return got
 
+    def chunk(self, c: str) -> tuple[bytes, bytes]:
+        return self.bare.get(c) or self._make(self.bare, c, c)
+
+    def word(self, w: str) -> tuple[bytes, bytes]:
+        return self._make(self.marked, w, MARK + w)
+
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Id bytes, and the UTF-8 of their decoding."""
-        edge = struct.pack("<I", self.model.begin), struct.pack("<I", self.model.end)
+        begin, end = struct.pack("<I", self.model.begin), struct.pack("<I", self.model.end)
         if not text:
-            return b"".join(edge), b""
-        marked = MARK + text.replace(" ", MARK)
-        if MARK + MARK in marked:
-            chunks = self.pattern.findall(marked)
-        else:
-            chunks = [MARK + c for c in marked[1:].split(MARK)]
-            if not chunks[-1][1:]:
-                chunks[-1] = MARK
-        get, make = self.kept.get, self.chunk
-        parts = [get(c) or make(c) for c in chunks]
-        decoded = b"".join([p[1] for p in parts])
-        return edge[0] + b"".join([p[0] for p in parts]) + edge[1], decoded[1:] if decoded[:1] == b" " else decoded
+            return begin + end, b""
+        if "  " in text or text[0] == " " or MARK in text or not self.model.cuts_lines:
+            parts = list(map(self.chunk, self.pattern.findall(MARK + text.replace(" ", MARK))))
+        else:  # single spaces: each begins a chunk
+            get, make, parts = self.marked.get, self.word, []
+            for k, line in enumerate(text.split("\n")):
+                words = line.split(" ")
+                if k:
+                    parts.append(self.chunk("\n"))
+                    if first := words.pop(0):
+                        parts.append(self.chunk(first))
+                parts += [get(w) or make(w) for w in words]
+        ids, decoded = zip(*parts)
+        decoded = b"".join(decoded)
+        return b"".join((begin, *ids, end)), decoded[1:] if decoded[:1] == b" " else decoded
 
 
 _CODECS: dict[str, Codec] = {}
