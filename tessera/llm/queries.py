@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, rules, simhash, spbpe
+from tessera.llm import langid, mil, rules, simhash, spbpe
 from tessera.llm.common import fold, table
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
+    got = mil.predict(docs, mil.fit_on(docs, table(spark, sf_dir, "labels"), ~held_out))
+    return got.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4) == 2
     got = langid.predict(docs, langid.fit_on(docs, ~held_out))
@@ -28,7 +34,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
 _STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 ORACLES = {
     "op8_quality_rules": rf"""
