@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, mil, rules, simhash, spbpe, zdict
+from tessera.llm import langid, mil, pfor, rules, simhash, spbpe, zdict
 from tessera.llm.common import fold, table
 
 
@@ -16,6 +16,10 @@ def op3_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfor.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
     got = mil.predict(docs, mil.fit_on(docs, table(spark, sf_dir, "labels"), ~held_out))
@@ -40,7 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_compression, op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op3_compression, op4_token_blocks, op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
 _STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 ORACLES = {
     "op8_quality_rules": rf"""
