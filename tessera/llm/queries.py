@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import iblt, langid, mil, pfor, rules, simhash, spbpe, zdict
+from tessera.llm import iblt, langid, mil, pfor, rules, simhash, spbpe, surrogates, zdict
 from tessera.llm.common import fold, table
 
+#: The key of surrogates in registered queries; a real run passes its own secret.
+KEY = "registered queries"
+
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.compare_edits(table(spark, sf_dir, "documents"))
@@ -24,6 +27,10 @@ def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(table(spark, sf_dir, "documents"), KEY)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
     got = mil.predict(docs, mil.fit_on(docs, table(spark, sf_dir, "labels"), ~held_out))
@@ -48,7 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_compression, op4_token_blocks, op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_compression, op4_token_blocks, op5_surrogates, op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
 _STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 ORACLES = {
     "op8_quality_rules": rf"""
