@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import iblt, langid, mil, pfor, rules, simhash, spbpe, surrogates, zdict
+from tessera.llm import iblt, langid, mil, mixing, pfor, rules, simhash, spbpe, surrogates, zdict
 from tessera.llm.common import fold, table
 
 #: The key of surrogates in registered queries; a real run passes its own secret.
@@ -17,6 +17,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
     got = zdict.predict(docs, zdict.fit_on(docs, table(spark, sf_dir, "labels"), ~held_out))
@@ -55,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_compression, op4_token_blocks, op5_surrogates, op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_compression, op4_token_blocks, op5_surrogates, op6_toxicity, op7_language, op8_quality_rules, op9_sentencepiece, op10_simhash)}
 _STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 ORACLES = {
     "op8_quality_rules": rf"""
