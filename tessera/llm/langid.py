@@ -192,3 +192,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of docs, with all their columns, whose text has a language with at least this score."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for b in batches:
+            got = [own.predict(t) for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([x != UNKNOWN and s >= least for x, s in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -206,3 +206,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     least = linked.groupBy("comp").agg(F.min("rep").alias("component_id"))
     by_fp = linked.join(least, "comp").select("fp", "component_id")
     return marked.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs, with all their columns, that stand for their component: those of its smallest doc_id.
+
+    Rows that repeat a doc_id become one (which one is not told if they differ). Rows without a doc_id cannot be told
+    apart and stay, all of them.
+    """
+    marked = settled(near_duplicates(docs, radius))
+    chosen = settled(marked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    kept = docs.join(chosen.select(F.col("doc_id").alias("_chosen")), F.col("doc_id") == F.col("_chosen"), "left_semi")
+    if chosen.filter("n > 1").head(1):
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
