@@ -1,4 +1,424 @@
-"""Registered queries on the driver's tables and the DuckDB SQL that each must equal."""
+"""Registered queries on the driver's tables and the DuckDB SQL that each must equal.
+
+The tables hold no images, so operators run on stand-ins: an embedding is an 8 x 8 mask (value > 0.125), a text's
+digest stands for a pixel digest, lang for the condition, documents and labels for images and their masks, part names
+and page addresses for file names, events for log lines.
+"""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions.labelling import Options, label_masks
+from tessera.operators import archive, checks, config, digest, geometry, labels, names, pairing, splits
+from tessera.streaming import metrics
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def long(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("long")
+
+
+# -- masks and boxes ---------------------------------------------------------------------------------------------
+
+
+def masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = F.unhex(F.array_join(F.transform("embedding", lambda v: F.when(v > 0.125, "01").otherwise("00")), ""))
+    return read(spark, sf_dir, "embeddings").select(long("vec_id").alias("mask_id"), F.lit(8).alias("width"), F.lit(8).alias("height"), pixels.alias("pixels"))
+
+
+def box_rows(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return label_masks(masks(spark, sf_dir), Options(**options)).select(F.col("mask_id").alias("vec_id"), F.inline("boxes"))
+
+
+def _components(near: str) -> str:
+    """Common table expressions: px, and comp (vec_id, root, x, y, w, h, area)."""
+    return f"""
+WITH RECURSIVE px AS (SELECT vec_id, (i - 1) % 8 AS x, (i - 1) // 8 AS y FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings) WHERE embedding[i] > 0.125),
+reach(vec_id, x, y, root) AS (SELECT vec_id, x, y, y * 8 + x FROM px UNION SELECT p.vec_id, p.x, p.y, r.root FROM reach r JOIN px p ON p.vec_id = r.vec_id AND {near}),
+least AS (SELECT vec_id, x, y, min(root) AS root FROM reach GROUP BY ALL),
+comp AS (SELECT vec_id, root, min(x)::INT AS x, min(y)::INT AS y, (max(x) - min(x) + 1)::INT AS w, (max(y) - min(y) + 1)::INT AS h, count(*)::BIGINT AS area FROM least GROUP BY vec_id, root)"""
+
+
+EIGHT, FOUR = _components("abs(p.x - r.x) <= 1 AND abs(p.y - r.y) <= 1"), _components("abs(p.x - r.x) + abs(p.y - r.y) <= 1")
+
+
+def distinct_boxes(rows: DataFrame) -> DataFrame:
+    return rows.select("vec_id", "x", "y", "w", "h")
+
+
+@query(f"{EIGHT} SELECT DISTINCT vec_id, x, y, w, h FROM comp")
+def mask_boxes_8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_boxes(box_rows(spark, sf_dir))
+
+
+@query(f"{FOUR} SELECT DISTINCT vec_id, x, y, w, h FROM comp")
+def mask_boxes_4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_boxes(box_rows(spark, sf_dir, connectivity=4))
+
+
+@query(f"""{EIGHT} SELECT e.vec_id, count(area)::INT AS components, count(area) FILTER (area < 3)::INT AS removed_components, coalesce(sum(area) FILTER (area < 3), 0)::BIGINT AS removed_pixels, coalesce(sum(area), 0)::BIGINT AS foreground_pixels FROM embeddings e LEFT JOIN comp USING (vec_id) GROUP BY e.vec_id""")
+def mask_boxes_min_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = label_masks(masks(spark, sf_dir), Options(min_area=3))
+    return got.select(F.col("mask_id").alias("vec_id"), "components", "removed_components", "removed_pixels", "foreground_pixels")
+
+
+@query(f"{EIGHT} SELECT vec_id, min(x)::INT AS x, min(y)::INT AS y, (max(x + w) - min(x))::INT AS w, (max(y + h) - min(y))::INT AS h FROM comp GROUP BY vec_id")
+def mask_boxes_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_boxes(box_rows(spark, sf_dir, mode="union"))
+
+
+@query(f"{EIGHT} SELECT DISTINCT vec_id, greatest(x - 2, 0)::INT AS x, greatest(y - 2, 0)::INT AS y, (least(x + w + 2, 8) - greatest(x - 2, 0))::INT AS w, (least(y + h + 2, 8) - greatest(y - 2, 0))::INT AS h FROM comp")
+def mask_boxes_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_boxes(box_rows(spark, sf_dir, padding=2))
+
+
+@query(f"{EIGHT} SELECT DISTINCT vec_id, greatest(x - 7, 0)::INT AS x, greatest(y - 7, 0)::INT AS y, (least(x + w + 7, 8) - greatest(x - 7, 0))::INT AS w, (least(y + h + 7, 8) - greatest(y - 7, 0))::INT AS h FROM comp")
+def boxes_padded_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padding as an array expression on plain boxes."""
+    got = label_masks(masks(spark, sf_dir)).select(F.col("mask_id").alias("vec_id"), F.inline(geometry.padded(F.col("boxes"), 7, F.lit(8), F.lit(8))))
+    return got.select("vec_id", "x", "y", "w", "h")
+
+
+@query(f"""{EIGHT} SELECT vec_id, printf('0 %.10f %.10f %.10f %.10f', (x + w / 2) / 8, (y + h / 2) / 8, w / 8, h / 8) AS line FROM (SELECT DISTINCT vec_id, x, y, w, h FROM comp)""")
+def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised label lines of all components: the flagship query."""
+    return box_rows(spark, sf_dir).select("vec_id", "line")
+
+
+@query("""SELECT vec_id, array_to_string(list_sort(list_distinct(list_transform(embedding, lambda v: floor(v::DOUBLE * 10)::BIGINT))), ',') AS mask_values, len(list_filter(embedding, lambda v: v > 0.125))::BIGINT AS foreground_pixels FROM embeddings""")
+def mask_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = geometry.mask_values(F.transform("embedding", lambda v: F.floor(v.cast("double") * 10).cast("long")))
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.array_join(values.cast("array<string>"), ",").alias("mask_values"), long(F.size(F.filter("embedding", lambda v: v > 0.125))).alias("foreground_pixels"))
+
+
+@query(f"""{EIGHT}, per AS (SELECT e.vec_id, count(DISTINCT (x, y, w, h)) FILTER (area IS NOT NULL) AS n, coalesce(sum(area), 0) AS fg FROM embeddings e LEFT JOIN comp USING (vec_id) GROUP BY e.vec_id)
+SELECT count(*)::BIGINT AS images, sum(n)::BIGINT AS boxes, count(*) FILTER (n > 4)::BIGINT AS fragmented, count(*) FILTER (fg / 64 > 0.2::DOUBLE)::BIGINT AS high_coverage, 0::BIGINT AS removed_components, 0::BIGINT AS removed_pixels FROM per""")
+def annotation_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = label_masks(masks(spark, sf_dir)).withColumns({"width": F.lit(8), "height": F.lit(8)})
+    return geometry.notices(got, many=4, high=0.2)
+
+
+@query(f"{EIGHT}, b AS (SELECT DISTINCT vec_id, x, y, w, h FROM comp) SELECT vec_id, x, y, w, h, w > 0 AND x + w <= 5 AND y + h <= 6 AS fits FROM b")
+def box_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes against a smaller image of 5 x 6."""
+    c = F.col
+    return distinct_boxes(box_rows(spark, sf_dir)).withColumn("fits", geometry.box_in_bounds(c("x"), c("y"), c("w"), c("h"), F.lit(5), F.lit(6)))
+
+
+@query(f"""{EIGHT}, b AS (SELECT DISTINCT vec_id, x, y, w, h FROM comp)
+SELECT e.vec_id, 'mask_' || e.label || '_' || e.vec_id || '.png' AS output_name, 'images/' || e.label || '/mask_' || e.label || '_' || e.vec_id || '.png' AS image_path, count(b.x)::BIGINT AS box_count FROM embeddings e LEFT JOIN b USING (vec_id) GROUP BY e.vec_id, e.label""")
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = label_masks(masks(spark, sf_dir)).select(F.col("mask_id").alias("vec_id"), long(F.size("boxes")).alias("box_count"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("string").alias("label")).join(got, "vec_id")
+    name = names.output_name(F.lit("mask"), F.col("label"), F.concat(F.col("vec_id").cast("string"), F.lit(".PNG")))
+    return rows.select("vec_id", name.alias("output_name"), F.concat(F.lit("images/"), "label", F.lit("/"), name).alias("image_path"), "box_count")
+
+
+@query(f"""{EIGHT}, b AS (SELECT DISTINCT vec_id, x, y, w, h FROM comp)
+SELECT vec_id, string_agg('0:' || x || ',' || y || ',' || w || ',' || h, ';' ORDER BY y, x, h, w) AS annotations FROM b GROUP BY vec_id""")
+def annotations_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested annotation records, as text so that both engines compare them alike."""
+    nested = geometry.nested_annotations(F.col("boxes"))
+    each = F.transform(nested, lambda b: F.concat(b["class_id"].cast("string"), F.lit(":"), F.concat_ws(",", b["x"], b["y"], b["width"], b["height"])))
+    return label_masks(masks(spark, sf_dir)).filter(F.size("boxes") > 0).select(F.col("mask_id").alias("vec_id"), F.array_join(each, ";").alias("annotations"))
+
+
+# -- digests, duplicates, conflicts, leaks -----------------------------------------------------------------------
+
+
+def digested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return docs.select("doc_id", "lang", "source", digest.sha256(F.coalesce("text", F.lit(""))).alias("digest"))
+
+
+_D = "WITH d AS (SELECT doc_id, lang, source, sha256(coalesce(text, '')) AS digest FROM documents)"
+
+
+@query(f"{_D} SELECT doc_id, digest FROM d")
+def pixel_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digested(spark, sf_dir).select("doc_id", "digest")
+
+
+@query(f"{_D} SELECT digest, count(*)::BIGINT AS n, min(doc_id) AS first, CASE WHEN count(*) <= 100 THEN string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) END AS members FROM d GROUP BY digest HAVING count(*) > 1")
+def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = digest.duplicate_groups(digested(spark, sf_dir), "digest", "doc_id")
+    return got.select("digest", "n", "first", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+
+
+@query(f"{_D} SELECT digest, count(DISTINCT source)::BIGINT AS n_variants FROM d GROUP BY digest HAVING count(DISTINCT source) > 1")
+def annotation_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.conflicts(digested(spark, sf_dir), "digest", "source")
+
+
+@query(f"{_D} SELECT digest, count(DISTINCT coalesce(quality::VARCHAR, '') || '/' || coalesce(toxic::VARCHAR, ''))::BIGINT AS n_variants FROM d JOIN labels USING (doc_id) GROUP BY digest HAVING n_variants > 1")
+def label_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.conflicts(digested(spark, sf_dir).join(read(spark, sf_dir, "labels"), "doc_id"), "digest", "quality", "toxic")
+
+
+@query(f"{_D} SELECT 'file' AS kind, digest, array_to_string(list_sort(list(DISTINCT (['train', 'val', 'test'])[doc_id % 3 + 1])), ',') AS splits FROM d GROUP BY digest HAVING count(DISTINCT doc_id % 3) > 1")
+def leakage_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split by row leaks duplicates."""
+    split = F.element_at(F.array(*map(F.lit, splits.SPLITS)), (F.col("doc_id") % 3 + 1).cast("int"))
+    got = digest.leaks(digested(spark, sf_dir).withColumn("split", split), "split", file="digest")
+    return got.select("kind", "digest", F.array_join("splits", ",").alias("splits"))
+
+
+@query("""WITH f AS (SELECT doc_id, '{"bytes": ' || strlen(coalesce(text, '')) || ', "path": "docs/' || doc_id || '.txt", "sha256": "' || sha256(coalesce(text, '')) || '"}' AS j FROM documents)
+SELECT count(*)::BIGINT AS n_files, sha256('[' || string_agg(j, ', ' ORDER BY doc_id) || ']') AS fingerprint FROM f""")
+def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    files = read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), digest.sha256(text).alias("sha256"), F.octet_length(text).alias("bytes"))
+    return digest.fingerprint(files, ["doc_id"])
+
+
+# -- pairing -----------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pair_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.missing(read(spark, sf_dir, "documents").select("doc_id"), read(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT l.doc_id FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND d.lang <> 'en')")
+def pair_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").filter("lang <> 'en'")
+    return pairing.missing(read(spark, sf_dir, "labels").select("doc_id"), docs, "doc_id")
+
+
+@query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'extra_mask' WHEN l.doc_id IS NULL THEN 'missing_mask' ELSE 'matched' END AS status
+FROM (SELECT DISTINCT doc_id FROM documents WHERE lang = 'en') d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id""")
+def pair_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.pair_status(read(spark, sf_dir, "documents").filter("lang = 'en'"), read(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT 'normal' AS condition, doc_id, NULL::VARCHAR AS toxic FROM documents WHERE lang <> 'en' UNION ALL SELECT 'anomaly', doc_id, toxic::VARCHAR FROM documents LEFT JOIN labels USING (doc_id) WHERE lang = 'en'")
+def paired_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tagged scans, of which one is joined to its masks and the other keeps nulls."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    rows = pairing.tagged_union(normal=docs.filter("lang <> 'en'"), anomaly=docs.filter("lang = 'en'"))
+    marks = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("string").alias("toxic"))
+    got = pairing.paired(rows, marks, "doc_id")
+    return got.select("condition", "doc_id", F.when(F.col("condition") == "anomaly", F.col("toxic")).alias("toxic"))
+
+
+@query("""WITH r AS (SELECT lower(p_name) AS key, p_name || '#' || p_partkey AS name, row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_name || '#' || p_partkey) AS k FROM part)
+SELECT key, count(*)::BIGINT AS n, string_agg(name, ',' ORDER BY name) FILTER (k <= 10) AS names FROM r GROUP BY key HAVING count(*) > 1""")
+def case_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read(spark, sf_dir, "part").select(F.col("p_name"), F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string")).alias("name"))
+    got = pairing.collisions(parts.withColumn("key", F.lower("p_name")), F.col("key"), "name")
+    return got.select("key", "n", F.array_join("names", ",").alias("names"))
+
+
+@query(r"""WITH b AS (SELECT page_id, string_split(url, '/')[-1] || '.v1.JPG' AS name FROM pages)
+SELECT page_id, regexp_extract(name, '^(.+?)(\.[^.]+)?$', 1) AS stem, regexp_extract(name, '^(.+?)(\.[^.]+)?$', 2) AS suffix, 'pages_normal_' || regexp_replace(regexp_extract(name, '^(.+?)(\.[^.]+)?$', 1), '[^A-Za-z0-9_-]', '_', 'g') || lower(regexp_extract(name, '^(.+?)(\.[^.]+)?$', 2)) AS output_name FROM b""")
+def output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(names.base(F.col("url")), F.lit(".v1.JPG"))
+    return read(spark, sf_dir, "pages").select("page_id", names.stem(name).alias("stem"), names.suffix(name).alias("suffix"), names.output_name(F.lit("pages"), F.lit("normal"), name).alias("output_name"))
+
+
+@query(r"""SELECT p_partkey, regexp_full_match(replace(p_name, ' ', '-'), '[A-Za-z0-9][A-Za-z0-9_-]{0,62}') AS safe, NOT starts_with(p_name, '.') AND lower(p_name) NOT IN ('thumbs.db', 'desktop.ini') AS listed, lower(p_name || '.JPG') LIKE '%.jpg' AS image FROM part""")
+def name_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("p_name")
+    return read(spark, sf_dir, "part").select("p_partkey", names.safe_identifier(F.replace(name, F.lit(" "), F.lit("-"))).alias("safe"), names.listed(name).alias("listed"), names.has_extension(F.concat(name, F.lit(".JPG")), names.IMAGE_EXTENSIONS).alias("image"))
+
+
+@query("SELECT doc_id, 'missing' AS side FROM documents WHERE doc_id % 7 = 0")
+def inventory_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against a copy that lost some."""
+    docs = read(spark, sf_dir, "documents").select("doc_id")
+    return pairing.inventory_difference(docs, docs.filter("doc_id % 7 <> 0"))
+
+
+@query("SELECT doc_id, sha256(coalesce(text, '')) AS recorded, sha256(coalesce(text, '') || '!') AS found FROM documents WHERE doc_id % 5 = 0")
+def source_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = read(spark, sf_dir, "documents")
+    found = docs.select("doc_id", digest.sha256(F.when(F.col("doc_id") % 5 == 0, F.concat(text, F.lit("!"))).otherwise(text)).alias("sha256"))
+    return pairing.changed(docs.select("doc_id", digest.sha256(text).alias("sha256")), found, "doc_id")
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.allowed(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), read(spark, sf_dir, "labels").filter("quality = 1"), "doc_id")
+
+
+# -- splits ------------------------------------------------------------------------------------------------------
+
+_QUOTAS = f"""{_D}, g AS (SELECT lang, digest, min(doc_id) AS first FROM d GROUP BY lang, digest), t AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+e AS (SELECT lang, n, i, n * r AS x, floor(n * r)::BIGINT AS low FROM t, (VALUES (0, 0.7::DOUBLE), (1, 0.15::DOUBLE), (2, 0.15::DOUBLE)) v(i, r)),
+c AS (SELECT *, low + (row_number() OVER (PARTITION BY lang ORDER BY x - low DESC, i) <= n - sum(low) OVER (PARTITION BY lang))::BIGINT AS c FROM e),
+q AS (SELECT lang, i, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY c DESC, i) = 1 THEN c - sum((c = 0)::BIGINT) OVER (PARTITION BY lang) WHEN c = 0 THEN 1 ELSE c END::BIGINT AS quota FROM c)"""
+_SPLIT = f"""{_QUOTAS}, k AS (SELECT lang, digest, row_number() OVER (PARTITION BY lang ORDER BY sha256('split-v1:42:' || lang || ':' || first), first) AS r FROM g),
+b AS (SELECT lang, i, quota, sum(quota) OVER (PARTITION BY lang ORDER BY i) AS hi FROM q),
+s AS (SELECT k.lang, digest, (['train', 'val', 'test'])[i + 1] AS split FROM k JOIN b ON k.lang = b.lang AND r <= hi AND r > hi - quota),
+m AS (SELECT doc_id, d.lang, split, d.digest, source FROM d JOIN s ON d.lang = s.lang AND d.digest = s.digest)"""
+
+
+@query(f"{_QUOTAS} SELECT lang, i::INT AS split_index, (['train', 'val', 'test'])[i + 1] AS split, quota FROM q")
+def split_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = digested(spark, sf_dir).select("lang", "digest").distinct()
+    return splits.quotas(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+
+
+def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.assign(digested(spark, sf_dir), "lang", "digest", "doc_id")
+
+
+@query(f"{_SPLIT} SELECT doc_id, lang, split FROM m")
+def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_documents(spark, sf_dir).select("doc_id", "lang", "split")
+
+
+@query(f"{_SPLIT} SELECT v.split, count(doc_id)::BIGINT AS images, count(doc_id) FILTER (lang = 'en')::BIGINT AS normal, count(doc_id) FILTER (lang <> 'en')::BIGINT AS anomaly, coalesce(sum((lang <> 'en')::INT), 0)::BIGINT AS boxes FROM (VALUES ('train'), ('val'), ('test')) v(split) LEFT JOIN m USING (split) GROUP BY v.split")
+def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.summary(split_documents(spark, sf_dir), "lang", "en", (F.col("lang") != "en").cast("int"))
+
+
+@query(f"{_SPLIT} SELECT 'file' AS kind, digest, string_agg(DISTINCT split, ',') AS splits FROM m GROUP BY digest HAVING count(DISTINCT split) > 1")
+def leakage_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split by group leaks nothing: no row."""
+    return digest.leaks(split_documents(spark, sf_dir), "split", file="digest").select("kind", "digest", F.array_join("splits", ",").alias("splits"))
+
+
+@query(f"""{_SPLIT}, p AS (SELECT doc_id, split || '/' || CASE WHEN lang = 'en' THEN 'normal' ELSE 'anomaly' END AS bucket FROM m WHERE split <> 'test'),
+o AS (SELECT doc_id, bucket, row_number() OVER (PARTITION BY bucket ORDER BY sha256('preview-v1:42:' || bucket || ':' || doc_id), doc_id) AS rank FROM p)
+SELECT doc_id, bucket, rank FROM o WHERE rank <= 24 ORDER BY rank, bucket LIMIT 24""")
+def preview_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split_documents(spark, sf_dir).filter("split <> 'test'")
+    bucket = F.concat("split", F.lit("/"), F.when(F.col("lang") == "en", "normal").otherwise("anomaly"))
+    return splits.round_robin(rows.select("doc_id", bucket.alias("bucket")), "bucket", "doc_id", 24)
+
+
+@query("SELECT lang AS condition, count(*)::BIGINT AS images, count(*) <> 503 AS unexpected FROM documents GROUP BY lang")
+def condition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").groupBy(F.col("lang").alias("condition")).agg(F.count(F.lit(1)).alias("images"))
+    return rows.withColumn("unexpected", F.col("images") != 503)
+
+
+# -- labels ------------------------------------------------------------------------------------------------------
+
+#: Lines that must be told apart, beside those of the masks.
+BAD_LINES = ("0 nan 0.4 0.1 0.1", "0 0.01 0.5 0.9 0.9", "1 0.5 0.5 0.2 0.2", "0 0.5 0.5 0.2", "0 x 0.5 0.2 0.2", "0 1_0 0.5 0.2 0.2", "0 0.5d 0.5 0.2 0.2", "0 0.5 0.5 0 0.2", "0 1.5 0.5 0.2 0.2", "0 0.5 0.5 1.0 1.0", "0 inf 0.5 0.2 0.2", "0  0.5\t0.5 0.2 0.2")
+_NUM = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_NAN = r"^[+-]?(nan|inf|infinity)$"
+
+
+@query(rf"""{EIGHT}, raw AS (SELECT vec_id AS id, printf('0 %.10f %.10f %.10f %.10f', (x + w / 2) / 8, (y + h / 2) / 8, w / 8, h / 8) AS raw FROM (SELECT DISTINCT vec_id, x, y, w, h FROM comp) UNION ALL SELECT -i, raw FROM (VALUES {", ".join(f"({i}, '{x}')" for i, x in enumerate(BAD_LINES, 1))}) v(i, raw)),
+s AS (SELECT id, raw, string_split(trim(regexp_replace(raw, '\s+', ' ', 'g')), ' ') AS c FROM raw),
+n AS (SELECT id, raw, c, try_cast(c[2] AS DOUBLE) AS x, try_cast(c[3] AS DOUBLE) AS y, try_cast(c[4] AS DOUBLE) AS w, try_cast(c[5] AS DOUBLE) AS h,
+      len(list_filter(c[2:5], lambda v: regexp_matches(v, '{_NUM}'))) AS good, len(list_filter(c[2:5], lambda v: regexp_matches(lower(v), '{_NAN}'))) AS odd FROM s)
+SELECT id, raw, CASE WHEN len(c) <> 5 OR c[1] <> '0' OR good + odd < 4 THEN 'bad_row' WHEN odd > 0 THEN 'non_finite' WHEN NOT (x BETWEEN 0 AND 1 AND y BETWEEN 0 AND 1 AND w > 0 AND w <= 1 AND h > 0 AND h <= 1) THEN 'out_of_range'
+       WHEN NOT (x - w / 2 >= -1e-8 AND x + w / 2 <= 1 + 1e-8 AND y - h / 2 >= -1e-8 AND y + h / 2 <= 1 + 1e-8) THEN 'out_of_image' END AS reason FROM n""")
+def label_row_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = spark.createDataFrame([(-i, x) for i, x in enumerate(BAD_LINES, 1)], "id long, raw string")
+    rows = box_rows(spark, sf_dir).select(F.col("vec_id").alias("id"), F.col("line").alias("raw")).unionByName(bad)
+    return rows.withColumn("reason", labels.check_line(F.col("raw")))
+
+
+@query(r"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i)::INT AS line_no, raw FROM (SELECT doc_id, i, trim(regexp_replace(ls[i], '\s+', ' ', 'g')) AS raw FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))) WHERE raw <> ''""")
+def label_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    return labels.lines(docs)
+
+
+@query("""WITH l AS (SELECT doc_id, count(*) AS n FROM labels WHERE toxic = 1 GROUP BY doc_id)
+SELECT lang AS split, count(*)::BIGINT AS images, count(n)::BIGINT AS positive, (count(*) - count(n))::BIGINT AS negative, coalesce(sum(n), 0)::BIGINT AS boxes FROM documents LEFT JOIN l USING (doc_id) GROUP BY lang""")
+def split_stats_pos_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("split"))
+    return labels.split_stats(docs, read(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id"), "doc_id")
+
+
+@query("""WITH s AS (SELECT source AS split, count(*) AS images, count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) AS positive FROM documents GROUP BY source)
+SELECT split, images::BIGINT AS images, positive::BIGINT AS positive, (images - positive)::BIGINT AS negative, positive::BIGINT AS boxes FROM s WHERE positive = 0 OR positive = images""")
+def one_class_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("split"))
+    return labels.one_class_only(labels.split_stats(docs, read(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id"), "doc_id"))
+
+
+@query("SELECT 'L' || l.doc_id AS stem FROM labels l WHERE l.doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')")
+def orphan_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = read(spark, sf_dir, "labels").select(F.concat(F.lit("L"), F.col("doc_id").cast("string")).alias("stem"))
+    docs = read(spark, sf_dir, "documents").filter("lang = 'en'").select(F.concat(F.lit("l"), F.col("doc_id").cast("string")).alias("image"))
+    return labels.orphans(marks, docs, "stem", "image")
+
+
+# -- archives, logs, settings ------------------------------------------------------------------------------------
+
+_MEMBERS = r"""WITH m AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN '../' || page_id WHEN 1 THEN '/tmp/' || page_id WHEN 2 THEN 'C:/' || page_id WHEN 3 THEN 'a\b' || page_id ELSE 'weights/' || (page_id // 12) END AS name,
+  CASE WHEN page_id % 11 = 0 THEN 'link' ELSE 'file' END AS kind, length(html)::BIGINT AS size FROM pages)"""
+
+
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("page_id")
+    n = i.cast("string")
+    kind = i % 6
+    name = F.when(kind == 0, F.concat(F.lit("../"), n)).when(kind == 1, F.concat(F.lit("/tmp/"), n)).when(kind == 2, F.concat(F.lit("C:/"), n)).when(kind == 3, F.concat(F.lit("a\\b"), n)).otherwise(F.concat(F.lit("weights/"), F.floor(i / 12).cast("string")))
+    return read(spark, sf_dir, "pages").select("page_id", name.alias("name"), F.when(i % 11 == 0, "link").otherwise("file").alias("kind"), long(F.length("html")).alias("size"), F.lit("a").alias("archive"))
+
+
+@query(rf"""{_MEMBERS} SELECT page_id, name, CASE WHEN starts_with(name, '/') THEN 'absolute' WHEN list_contains(string_split(name, '/'), '..') THEN 'parent' WHEN contains(name, '\') THEN 'backslash' WHEN contains(name, ':') THEN 'colon' WHEN kind <> 'file' THEN 'type'
+WHEN row_number() OVER (PARTITION BY name ORDER BY page_id) > 1 THEN 'duplicate' END AS fault FROM m""")
+def archive_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.guarded(members(spark, sf_dir), "archive", "page_id").select("page_id", "name", "fault")
+
+
+@query(f"{_MEMBERS} SELECT 'a' AS archive, count(*)::BIGINT AS members, sum(size)::BIGINT AS bytes, count(*) > 20000 OR sum(size) > 5368709120 AS beyond_limits FROM m")
+def archive_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive.totals(members(spark, sf_dir), "archive")
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("event_id") % 2 == 0, "metrics/mAP50(B)").when(F.col("event_id") % 3 == 0, "metrics/mAP50-95(B)").otherwise("loss")
+    return read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("epoch "), F.lit("VISA_METRIC "), name, F.lit("=0."), F.lpad((F.col("event_id") % 9973).cast("string"), 4, "0")).alias("value"))
+
+
+@query(r"""WITH l AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'metrics/mAP50(B)' WHEN event_id % 3 = 0 THEN 'metrics/mAP50-95(B)' ELSE 'loss' END AS metric, '0.' || lpad((event_id % 9973)::VARCHAR, 4, '0') AS v FROM events)
+SELECT event_id, metric, v::DOUBLE AS metric_value FROM l WHERE metric <> 'loss'""")
+def metric_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.extracted(log_lines(spark, sf_dir)).select("event_id", "metric", "metric_value")
+
+
+@query(None)
+def metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as a file stream into a Parquet sink, run until all that is there is processed."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
+    folder = f"{base.rstrip('/')}/metric-stream-{os.urandom(8).hex()}"
+    log_lines(spark, sf_dir).select("value").write.text(f"{folder}/lines")
+    got = metrics.stream(spark, f"{folder}/lines").select("metric", "metric_value")
+    got.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+LAYERS = (("epochs", "60", 0), ("batch", "1", 0), ("imgsz", "640", 0), ("workers", "4", 0), ("epochs", "1", 1), ("workers", "0", 1), ("batch", "4", 2), ("colour", "red", 2))
+SETTINGS = (("training.epochs", "0"), ("training.batch", "-1"), ("training.imgsz", "641"), ("training.imgsz", "640"), ("training.amp", "maybe"), ("limits.max_seconds", "59"), ("limits.max_seconds", "1800"), ("training.workers", "0"), ("training.seed", "x"))
+
+
+@query(f"""WITH l AS (SELECT * FROM (VALUES {", ".join(map(str, LAYERS))}) v(key, value, layer)) SELECT key, arg_max(value, layer) AS value, CASE WHEN min(layer) > 0 THEN 'unknown_key' ELSE 'ok' END AS status FROM l GROUP BY key""")
+def config_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.overlaid(spark.createDataFrame(list(LAYERS), "key string, value string, layer int"))
+
+
+@query("""SELECT * FROM (VALUES ('not_positive', 'training.epochs', '0'), ('not_positive', 'training.batch', '-1'), ('not_multiple_of_32', 'training.imgsz', '641'), ('not_boolean', 'training.amp', 'maybe'), ('below_60', 'limits.max_seconds', '59'), ('negative', 'training.seed', 'x')) v(reason, key, detail)""")
+def settings_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.settings(spark.createDataFrame(list(SETTINGS), "key string, value string"))
