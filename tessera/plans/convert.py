@@ -103,7 +103,7 @@ def convert(spark: SparkSession, source: str, output: str, category: str, option
             table = splits.summary(split, "condition", "normal", F.size("boxes"))
             report["splits"] = {r.split: {k: r[k] for k in ("images", "normal", "anomaly", "boxes")} for r in table.collect()}
             report["duplicate_groups"] = digest.duplicate_groups(split, "pixels_sha256", "name").count()
-            report |= analysed.agg(F.sum("removed_components").alias("removed_components"), F.sum("removed_pixels").alias("removed_pixels")).first().asDict()
+            report.update(analysed.agg(F.sum("removed_components").alias("removed_components"), F.sum("removed_pixels").alias("removed_pixels")).first().asDict())
             sinks.write_json(os.path.join(stage, "report.json"), report)
             validate_export(spark, stage, split.select("name", "split", text.alias("label_text")))
 
@@ -124,7 +124,7 @@ def validate_export(spark: SparkSession, root: str, expected: DataFrame) -> None
     want = expected.select("split", names.stem(F.col("name")).alias("stem"), "label_text")
     for split in splits.SPLITS:
         part = want.filter(F.col("split") == split)
-        have = files.label_files(spark, os.path.join(root, "labels", split)) if os.listdir(os.path.join(root, "labels", split)) else spark.createDataFrame([], "stem string, value string")
+        have = files.label_files(spark, os.path.join(root, "labels", split))
         diff = pairing.inventory_difference(part.select("stem", F.col("label_text").alias("value")), have.select("stem", "value"))
         checks.raise_if_any(checks.offences(diff, "export_label", F.col("stem"), F.col("side")))
 

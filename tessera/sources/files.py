@@ -59,10 +59,16 @@ def scan(spark: SparkSession, folder: str, masks: bool = False) -> DataFrame:
 
 
 def label_files(spark: SparkSession, folder: str) -> DataFrame:
-    """stem and value (the whole text) of every label file of a folder; empty files are rows too."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
-    name = names.base(F.col("path"))
-    return files.select(names.stem(name).alias("stem"), F.decode("content", "UTF-8").alias("value"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    """stem, value (the whole text), sha256 and bytes of every label file of a folder.
+
+    Spark's file sources skip files of no length, which are meaningful here (an image without objects), so the names
+    come from a listing on the driver and the contents are joined to it.
+    """
+    listed = spark.createDataFrame([(x,) for x in sorted(os.listdir(folder)) if x.endswith(".txt") and not x.startswith(".")], "name string")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
+    found = found.select(names.base(F.col("path")).alias("name"), "content")
+    content = F.coalesce("content", F.lit(b""))
+    return listed.join(found, "name", "left").select(names.stem(F.col("name")).alias("stem"), F.decode(content, "UTF-8").alias("value"), F.sha2(content, 256).alias("sha256"), F.octet_length(content).cast("long").alias("bytes"))
 
 
 def split_images(spark: SparkSession, root: str, splits: tuple[str, ...]) -> DataFrame:
