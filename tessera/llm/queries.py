@@ -78,7 +78,7 @@ m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x
       FROM w LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 15 * n_words AND n_symbols <= 0.1::DOUBLE * n_words
-       AND n_stop_words >= 0.02::DOUBLE * n_words AND n_dup_lines <= 0.3::DOUBLE * n_lines AND n_bullet_lines <= 0.9::DOUBLE * n_lines
+       AND n_stop_words >= 0.02::DOUBLE * n_words AND n_dup_lines <= 0.5::DOUBLE * n_lines AND n_bullet_lines <= 0.9::DOUBLE * n_lines
        AND n_ellipsis_lines <= 0.3::DOUBLE * n_lines AS kept
 FROM b""",
 }

@@ -36,7 +36,7 @@ RULES = (
     Rule("mean_word_chars", "word_chars", "n_words", 2, 15),
     Rule("symbols_per_word", "n_symbols", "n_words", None, 0.1),
     Rule("stop_word_share", "n_stop_words", "n_words", 0.02, None),
-    Rule("duplicate_line_share", "n_dup_lines", "n_lines", None, 0.3),
+    Rule("duplicate_line_share", "n_dup_lines", "n_lines", None, 0.5),
     Rule("bullet_line_share", "n_bullet_lines", "n_lines", None, 0.9),
     Rule("ellipsis_line_share", "n_ellipsis_lines", "n_lines", None, 0.3),
 )
