@@ -32,7 +32,7 @@ ROW, GROUP_ROW, GROUP_AGAIN = 8, 8, 20
 LOADS = (8, 2)
 ROUNDS = 7
 #: Rows of a bucket of neighbouring ids, and buckets at most: SEGMENTS quantiles of as many equal parts.
-BUCKET_ROWS, SEGMENTS, PARTS = 64, 64, 64
+BUCKET_ROWS, SEGMENTS, PARTS = 64, 64, 4096
 LOWEST = -(1 << 63)
 
 
