@@ -1,6 +1,6 @@
 """PII surrogates: detected entities get keyed, type-consistent replacements, in DataFrame expressions alone.
 
-Entities (e-mail addresses, phone, card, account and social security numbers, IPv4 addresses, hexadecimal secrets and
+Entities (e-mail addresses, phone, card, account and social security numbers, IPv4 addresses, secrets, access keys and
 titled person names) are found by one pattern. A surrogate is a function of the key and the entity, so equal entities
 get equal surrogates wherever they stand (coreference) and no lookup is needed. Digits go through a Feistel
 permutation of strings of their length, which keeps lengths, punctuation, country codes and card checksums and maps
@@ -41,10 +41,11 @@ PATTERNS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b(?<=\d[A-Z0-9 ]{0,9})"),
     ("ip", rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"),
+    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\w+])\+(?=(?:[ ().-]{0,2}\d){8,15}(?!\d))\d{1,3}(?:[ .-]{0,2}\(?\d{1,4}\)?){2,7}(?!\d)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"),
     ("card", r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])"),
     ("ssn", r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("secret", r"(?<![0-9A-Za-z])(?=[a-fA-F]{0,63}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"),
+    ("key", r"(?<![0-9A-Za-z_-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![0-9A-Za-z])"),
     ("person", rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? {_NAME}(?: {_NAME})?"),
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in PATTERNS)
@@ -188,7 +189,7 @@ def person(entity: Column, key: str, salt: Column, again: Column) -> Column:
 def surrogate(entity: Column, key: str, again: Column) -> Column:
     """The replacement of an entity; again is 0, or the round after earlier ones collided."""
     salt = again.cast("string")
-    k = lambda t: F.when(t == "email", email(entity, key, salt, again)).when(t == "ip", dotted(entity, key, salt)).when(t == "phone", phone(entity, key, salt)).when(t == "card", card(entity, key, salt)).when(t == "person", person(entity, key, salt, again)).when(t == "secret", secret(entity, key, salt)).when(t == "iban", F.concat(F.substring(entity, 1, 2), shaped(F.substring(entity, F.lit(3), F.length(entity)), key, salt))).otherwise(poured(entity, digits(only(entity), key, salt)))
+    k = lambda t: F.when(t == "email", email(entity, key, salt, again)).when(t == "ip", dotted(entity, key, salt)).when(t == "phone", phone(entity, key, salt)).when(t == "card", card(entity, key, salt)).when(t == "person", person(entity, key, salt, again)).when(t == "secret", secret(entity, key, salt)).when(t == "key", F.concat(F.regexp_extract(entity, "^(AKIA|gh._|sk-)", 1), shaped(F.regexp_replace(entity, "^(AKIA|gh._|sk-)", ""), key, salt))).when(t == "iban", F.concat(F.substring(entity, 1, 2), shaped(F.substring(entity, F.lit(3), F.length(entity)), key, salt))).otherwise(poured(entity, digits(only(entity), key, salt)))
     return let(kind(entity), k)
 
 
