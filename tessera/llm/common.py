@@ -59,7 +59,21 @@ def labelled_sample(rows: DataFrame, label: str, per_label: int, total: int, max
     driver is at most total * max_chars characters. Ids alone are ranked; texts are then fetched for those taken.
     """
     fit = rows.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.length("text").between(1, max_chars)))
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = fit.select("doc_id", label).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label)
+    place = F.xxhash64("doc_id")
+    near = fit.filter(place <= _cutoffs(rows, label, per_label))
+    order = Window.partitionBy(label).orderBy(place, "doc_id")
+    ids = near.select("doc_id", label).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label)
     ids = ids.orderBy("rank", label).limit(total).select("doc_id").distinct()
     return fit.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]).limit(total).select("doc_id", "text", label).collect()
+
+
+def _cutoffs(rows: DataFrame, label: str, per_label: int, slack: int = 4) -> Column:
+    """A bound of the uniform hash below which a label has about slack * per_label rows.
+
+    The rows first in order are below it, so ranking need not gather what a hot label has in all tasks.
+    """
+    counts = rows.filter(F.col(label).isNotNull()).groupBy(label).count().filter(F.col("count") > slack * per_label).orderBy(F.desc("count")).limit(1000).collect()
+    out = F.lit((1 << 63) - 1)
+    for r in counts:
+        out = F.when(F.col(label) == r[0], F.lit(-(1 << 63) + (1 << 64) * slack * per_label // r[1])).otherwise(out)
+    return out
