@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,8 +38,8 @@ from tessera.llm.common import local_path, shared_dir, small_batches, texts
 MAGIC, BLOCK, PERCENTILE = b"PFR1", 1024, 0.98
 #: Ids that a task holds before their blocks are packed.
 HOLD = 1 << 20
-#: Chunks of text whose ids a worker keeps; the table is emptied when full.
-KEEP = 600_000
+#: Words, and pieces of words, whose ids a worker keeps; a table is emptied when full.
+KEEP = 800_000
 SHARDS_SCHEMA = "part int, path string, n_docs long, n_ids long, first long"
 
 
@@ -173,72 +174,89 @@ class Shard:
 #: The white space that the pre-tokenizer's pattern knows, but space and line feed.
 _W = r"\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNKS = re.compile(f"[ \n{_W}]*[^ \n{_W}]+|[ \n{_W}]+")
-#: What the quick way does not know: other white space, and spaces or line feeds next to each other or at an end.
-_ODD = re.compile(f"[{_W}]|  |\n\n|\n | \n|\\A | \\Z")
+_OTHER = [chr(c) for c in (9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def odd(t: str) -> bool:
+    """Whether a text has what the quick way does not know: other white space, spaces or line feeds next to each other,
+    or a space at an end. Searches for fixed strings cost little next to one for a pattern of them all."""
+    return "  " in t or "\n\n" in t or "\n " in t or " \n" in t or t[:1] == " " or t[-1:] == " " or any(c in t for c in _OTHER)
+
+
+#: The pre-tokenizer's pattern, and the characters that stand for bytes in the vocabulary.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: b for b in _PRINTED} | {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, with the ids of frequent words kept.
+    """Ids of whole texts by the tokenizers library, with the ids of frequent words and pieces kept.
 
     The pre-tokenizer never joins a character to white space after it, so a text is the chain of its chunks (white
-    space and what follows up to the next white space), each of which the library encodes by itself. Words after a
-    single space or line feed are learned many at once, the others in their chunks. A text with a special token's
-    string goes to the library whole.
+    space and what follows up to the next white space), each of which is encoded by itself. Words after a single space
+    or line feed are cut into the pre-tokenizer's pieces, whose ids the library's model gives; chunks with other white
+    space and texts with a special token's string go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaced: dict[str, bytes] = {}  # by word, with a space before it
-        self.bare: dict[str, bytes] = {}
-        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
+        self.kept: dict[str, bytes] = {}  # by word: with a space before it, or as it is if it begins with a line feed
+        self.pieces: dict[str, bytes] = {}
         self.feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
-        return self._ids(text).tobytes()
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def learn(self, words: list[str], spaced: bool) -> dict[str, bytes]:
-        """Ids of words without white space, each with a space before it or bare (after a line feed)."""
-        mark = " " if spaced else "\n"
-        ids = self._ids(mark + mark.join(words))
-        at = np.nonzero(self.opens[ids] if spaced else ids == np.frombuffer(self.feed, "<u4")[0])[0]
-        if len(at) != len(words):
-            return {w: self.whole(" " * spaced + w) for w in words}
-        return {w: x[not spaced :].tobytes() for w, x in zip(words, np.split(ids, at[1:]))}
-
-    def _meet(self, table: dict[str, bytes], words, spaced: bool) -> None:
-        new = list(dict.fromkeys([w for w in words if w not in table]))
-        for k in range(0, len(new), 512):
-            table.update(self.learn(new[k : k + 512], spaced))
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def piece(self, p: str) -> bytes:
+        """Ids of one piece; each is looked up once, whatever punctuation stands next to it in words."""
+        if (got := self.pieces.get(p)) is None:
+            plain = p.isascii() and p.isprintable()  # whose bytes but for the space stand for themselves
+            ids = [t.id for t in self.model.tokenize(p.replace(" ", "Ġ") if plain else p.encode().decode("latin-1").translate(BYTES))]
+            if len(self.pieces) >= KEEP:
+                self.pieces.clear()
+            got = self.pieces[p] = struct.pack(f"<{len(ids)}I", *ids)
+        return got
+
+    def learn(self, w: str) -> bytes:
+        """Ids of a word, with a space before it unless it begins with a line feed."""
+        if w[0] == "\n":
+            return self.feed + b"".join([self.piece(p) for p in PIECES.findall(w[1:])])
+        if w.isalpha():
+            return self.piece(" " + w)
+        if w[-1] in ".,!?" and w[:-1].isalpha():
+            return self.piece(" " + w[:-1]) + self.piece(w[-1])
+        return b"".join([self.piece(p) for p in PIECES.findall(" " + w)])
 
     def batch(self, texts_: list[str]) -> list[bytes]:
         """Id bytes of each text."""
-        if len(self.spaced) > KEEP:
-            self.spaced.clear()
-        if len(self.bare) > KEEP:
-            self.bare.clear()
-        spaced, bare, feed = self.spaced, self.bare, self.feed
-        out = []
+        if len(self.kept) > KEEP:
+            self.kept.clear()
+        kept, get = self.kept, self.kept.get
+        kept["\n"] = self.feed
+        out: list = []
+        new: dict[str, None] = {}
         for t in texts_:
             if any(x in t for x in self.special):
                 out.append(self.whole(t))
-            elif _ODD.search(t):
+            elif odd(t):
                 chunks = _CHUNKS.findall(t)
                 one = {c: self.whole(c) for c in dict.fromkeys(chunks)}
                 out.append(b"".join([one[c] for c in chunks]))
             else:
-                out.append([x.split(" ") for x in t.split("\n")])
-        quick = [x for x in out if isinstance(x, list)]
-        bare.setdefault("", b"")
-        self._meet(bare, [ws[0] for lines in quick for ws in lines], False)
-        self._meet(spaced, [w for lines in quick for ws in lines for w in ws[1:]], True)
-        return [x if isinstance(x, bytes) else feed.join([bare[ws[0]] + b"".join([spaced[w] for w in ws[1:]]) for ws in x]) for x in out]
+                # the first word has no space before it: it is looked up after a line feed, whose id is cut off
+                words = ("\n" + t.replace("\n", " \n")).split(" ")
+                found = list(map(get, words))
+                if None in found:
+                    new.update(dict.fromkeys([w for w, x in zip(words, found) if x is None]))
+                    out.append((words, found))
+                else:
+                    out.append(b"".join(found)[4:])
+        kept.update((w, self.learn(w)) for w in new)
+        return [x if isinstance(x, bytes) else b"".join([i or kept[w] for w, i in zip(*x)])[4:] for x in out]
 
 
 _ENCODERS: dict[str, Encoder] = {}
