@@ -33,31 +33,38 @@ CHUNK = 65536
 BIG = 20_000
 
 
-def simhash(text: str | None, width: int = SHINGLE_WORDS) -> int:
-    """Bit i is 1 if it is set in over half of the shingles' hashes; no words: 0."""
+def hashes(text: str | None, width: int) -> np.ndarray:
+    """The hashes of all shingles in order; fewer words than a shingle are one, no words none."""
     words = (text or "").encode().lower().split()  # bytes: A-Z alone, and the white space 9 to 13 and 32
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
     ends = ends.tolist()[min(width, len(words)) - 1 :]
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends)), np.uint64, len(ends))
+
+
+def simhash(text: str | None, width: int = SHINGLE_WORDS) -> int:
+    """Bit i is 1 if it is set in over half of the shingles' hashes; no words: 0."""
+    found = hashes(text, width).astype("<u8", copy=False)
+    if not len(found):
+        return 0
     total = np.zeros(64, np.int64)
-    for k in range(0, len(ends), CHUNK):
-        h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + CHUNK], ends[k : k + CHUNK])], "<u8")
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = 2 * total > len(ends)
+    for k in range(0, len(found), CHUNK):
+        total += np.unpackbits(found[k : k + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    bits = 2 * total > len(found)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and its fingerprint as a signed 64-bit integer fp."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([simhash(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
+            fp = np.array([simhash(t, width) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
 
     return texts(docs).mapInArrow(run, "doc_id long, fp long")
@@ -197,9 +204,9 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row of docs."""
-    marked = settled(fingerprints(docs))
+    marked = settled(fingerprints(docs, width))
     reps = settled(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     comp = components(shard_edges(reps.select("fp"), radius)).select(F.col("node").alias("fp"), "comp")
     linked = reps.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
@@ -208,15 +215,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return marked.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def one_of_each(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of docs that stand for their component."""
+    return chosen(docs, near_duplicates(docs, radius, width))
+
+
+def chosen(docs: DataFrame, components: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that stand for their component: those of its smallest doc_id.
 
     Rows that repeat a doc_id become one (which one is not told if they differ). Rows without a doc_id cannot be told
     apart and stay, all of them.
     """
-    marked = settled(near_duplicates(docs, radius))
-    chosen = settled(marked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    kept = docs.join(chosen.select(F.col("doc_id").alias("_chosen")), F.col("doc_id") == F.col("_chosen"), "left_semi")
-    if chosen.filter("n > 1").head(1):
+    marked = settled(components)
+    first = settled(marked.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    kept = docs.join(first.select(F.col("doc_id").alias("_chosen")), F.col("doc_id") == F.col("_chosen"), "left_semi")
+    if first.filter("n > 1").head(1):
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
