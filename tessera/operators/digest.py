@@ -16,18 +16,25 @@ def pixel_digest(width: Column, height: Column, pixels: Column) -> Column:
     return F.sha2(F.concat(head, pixels), 256)
 
 
-def duplicate_groups(rows: DataFrame, digest: str, name: str, most_listed: int = 100) -> DataFrame:
+def duplicate_groups(rows: DataFrame, digest: str, name: str) -> DataFrame:
     """digest, n, first and the sorted names of every digest that several rows share.
 
-    Counts and the first name are summed before the shuffle, so a digest that many rows share is no hot task. Names
-    are listed for groups of up to most_listed; of larger ones n and first tell, and rows join back by digest.
+    All names of a group are one array; duplicate_members gives them as rows where a group may outgrow that.
     """
     groups = rows.groupBy(digest).agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("first")).filter("n > 1")
-    small = rows.join(groups.filter(F.col("n") <= most_listed).select(digest), digest, "left_semi")
-    members = small.groupBy(digest).agg(F.array_sort(F.collect_list(name)).alias("members"))
+    members = duplicate_members(rows, digest, name).groupBy(digest).agg(F.array_sort(F.collect_list(name)).alias("members"))
     return groups.join(members, digest, "left")
 
 
+def duplicate_members(rows: DataFrame, digest: str, name: str) -> DataFrame:
+    """digest, n, first and name, a row for each of the rows whose digest several share.
+
+    Counts and the first name are summed before the shuffle and joined back, so no group is gathered.
+    """
+    groups = rows.groupBy(digest).agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("first")).filter("n > 1")
+    return rows.select(digest, name).join(groups, digest).select(digest, "n", "first", name)
+
+
 def conflicts(rows: DataFrame, digest: str, *parts: str) -> DataFrame:
     """digest and n_variants of groups of equal content that differ in the parts (null is a value of its own)."""
     variant = F.to_json(F.struct(*(F.coalesce(F.col(p).cast("string"), F.lit("")).alias(f"p{k}") for k, p in enumerate(parts))))

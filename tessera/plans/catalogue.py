@@ -166,6 +166,11 @@ def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("digest", "n", "first", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
 
 
+@query(f"{_D}, g AS (SELECT digest, count(*)::BIGINT AS n, min(doc_id) AS first FROM d GROUP BY digest HAVING count(*) > 1) SELECT digest, n, first, doc_id FROM d JOIN g USING (digest)")
+def duplicate_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.duplicate_members(digested(spark, sf_dir), "digest", "doc_id")
+
+
 @query(f"{_D} SELECT digest, count(DISTINCT source)::BIGINT AS n_variants FROM d GROUP BY digest HAVING count(DISTINCT source) > 1")
 def annotation_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.conflicts(digested(spark, sf_dir), "digest", "source")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import jaccard
+from tessera.operators import digest
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,3 +56,15 @@ def test_pipeline_near_duplicates_equal_brute_force(spark, docs):
     want = similar(texts)
     assert [r.component_id for r in jaccard.near_duplicates(df).orderBy("doc_id").collect()] == want
     assert sorted(r.doc_id for r in pipeline.near_duplicates(spark, df, SF).collect()) == sorted(set(want))
+
+
+# -- members of duplicate groups ---------------------------------------------------------------------------------
+
+
+def test_duplicate_groups_list_all_members(spark):
+    rows = [("big", i) for i in range(250)] + [("two", 900), ("two", 901), ("one", 950)]
+    df = spark.createDataFrame(rows, "digest string, doc_id long")
+    got = {r.digest: r for r in digest.duplicate_groups(df, "digest", "doc_id").collect()}
+    assert got.keys() == {"big", "two"} and got["big"].members == list(range(250)) and got["two"].members == [900, 901]
+    members = sorted(tuple(r) for r in digest.duplicate_members(df, "digest", "doc_id").collect())
+    assert members == [("big", 250, 0, i) for i in range(250)] + [("two", 2, 900, 900), ("two", 2, 900, 901)]
