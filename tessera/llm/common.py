@@ -55,12 +55,13 @@ def local_path(uri: str) -> str | None:
 def labelled_sample(rows: DataFrame, label: str, per_label: int, total: int, max_chars: int) -> list:
     """At most per_label rows (doc_id, text, label) of each label and about total in all, in an order fixed by id and text.
 
-    The bound is the caller's documented parameter; only texts of up to max_chars are taken, so what comes to the
-    driver is at most total * max_chars characters. Ids alone are ranked; texts are then fetched for those taken.
+    The bounds are the caller's documented parameters; of a longer text its first max_chars characters are taken, so what
+    comes to the driver is at most total * max_chars characters. Ids alone are ranked; texts are then fetched for those taken.
     """
-    fit = rows.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.length("text").between(1, max_chars)))
+    fit = rows.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    fit = fit.withColumn("text", F.substring("text", 1, max_chars))
     place = F.xxhash64("doc_id")
-    near = fit.filter(place <= _cutoffs(rows, label, per_label))
+    near = fit.filter(place <= _cutoffs(fit, label, per_label))
     order = Window.partitionBy(label).orderBy(place, "doc_id")
     ids = near.select("doc_id", label).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label)
     ids = ids.orderBy("rank", label).limit(total).select("doc_id").distinct()

@@ -195,14 +195,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of docs, with all their columns, whose text has a language with at least this score."""
+    """The rows of docs, with all their columns, whose text has a language with at least this score.
+
+    Where no language could be learned, those whose text has a letter.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for b in batches:
-            got = [own.predict(t) for t in b.column("text").to_pylist()]
-            yield b.filter(pa.array([x != UNKNOWN and s >= least for x, s in got], pa.bool_()))
+            ts = b.column("text").to_pylist()
+            if own.labels:
+                kept = [x != UNKNOWN and s >= least for x, s in map(own.predict, ts)]
+            else:
+                kept = [any(map(str.isalpha, t or "")) for t in ts]
+            yield b.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

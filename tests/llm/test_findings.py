@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import jaccard
+from tessera.llm import jaccard, langid
+from tessera.llm.common import labelled_sample
 from tessera.operators import digest
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +69,27 @@ def test_duplicate_groups_list_all_members(spark):
     assert got.keys() == {"big", "two"} and got["big"].members == list(range(250)) and got["two"].members == [900, 901]
     members = sorted(tuple(r) for r in digest.duplicate_members(df, "digest", "doc_id").collect())
     assert members == [("big", 250, 0, i) for i in range(250)] + [("two", 2, 900, 900), ("two", 2, 900, 901)]
+
+
+# -- samples to learn from ---------------------------------------------------------------------------------------
+
+
+def test_long_texts_are_learned_from(spark):
+    rows = [(i, "wort und satz " * 1000, "de") for i in range(30)] + [(100 + i, "word and phrase " * 9, "en") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = labelled_sample(df, "lang", 20, 100, 8000)
+    assert sorted(r.lang for r in got) == ["de"] * 20 + ["en"] * 20 and max(len(r.text) for r in got) == 8000
+    assert langid.fit_on(df, F.lit(True)).labels == ["de", "en"]
+
+
+def test_rows_that_cannot_teach_do_not_shrink_a_sample(spark):
+    rows = [(i, None if i % 50 else f"text {i}", "x") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(labelled_sample(df, "lang", 20, 100, 8000)) == 20
+
+
+def test_language_stage_without_a_model_keeps_letters(spark):
+    import corpus_pipeline as pipeline
+
+    df = spark.createDataFrame([(1, "some words", None), (2, "123 !!", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in pipeline.language_id(spark, df, SF).collect()] == [1]
