@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: sentence scores, trained from document labels alone.
 
 A sentence's probability is a logistic function of its distinct words and their stems of four and five letters; a document's is the noisy-or of its sentences,
-1 - prod(1 - p). The weights maximise the likelihood of document labels (Adagrad with an L1 proximal step), so the
+1 - prod(1 - p). In scoring, that product takes every sentence with clear evidence and, of the others, the strongest
+alone: thousands of faint ones would add up, and a text's score would grow with its length. The weights maximise the likelihood of document labels (Adagrad with an L1 proximal step), so the
 model finds by itself which sentences offend; it is fitted on the driver from a sample bounded by PER_LABEL and
 MAX_CHARS, then calibrated on rows kept out of training. Scoring reads every whole text and can return the offending
 sentences with their spans.
@@ -30,8 +31,12 @@ from tessera.llm.common import labelled_sample, small_batches, texts
 PER_LABEL, MAX_CHARS = 2500, 20_000
 #: Documents that a word must be in; passes; step; L1 strength on the mean gradient.
 MIN_DOCS, STEPS, RATE, L1 = 5, 150, 0.7, 0.0004
-#: Log-odds of a sentence without evidence: so low that thousands of such do not add up to an offence.
+#: Log-odds of a sentence without evidence.
 BIAS = -10.0
+#: Log-odds (probability 0.9) from which a sentence has clear evidence.
+CLEAR = 2.2
+#: Log-odds of a document beyond which calibration sees no difference, so that few far ones do not flatten the curve.
+FARTHEST = 7.0
 WORDS = re.compile(r"[^\W\d_]+")
 SENTENCES = re.compile(r"[^.!?\n]+[.!?]*|[.!?]+")
 
@@ -64,23 +69,23 @@ class Model:
         return self.bias + self.evidence(WORDS.findall(sentence.lower()))
 
     def clean(self, text: str) -> float:
-        """Log of the probability that no sentence offends.
+        """Log of the probability that no clear sentence and not the strongest of the others offends.
 
-        Sentences without a word of any weight differ in nothing, so they are counted, not scored one by one.
+        Sentences without a word of any weight have the bias alone.
         """
         known, stems = self.weights, self.stems
-        total, plain = 0.0, 0
+        total, faint = 0.0, None
         for s in SENTENCES.findall(text.lower()):
-            if found := [w for w in WORDS.findall(s) if w[:4] in stems or w[:5] in stems or w in known]:
-                total -= softplus(self.bias + self.evidence(found))
-            else:
-                plain += 1
-        return total - plain * softplus(self.bias)
+            found = [w for w in WORDS.findall(s) if w[:4] in stems or w[:5] in stems or w in known]
+            z = self.bias + self.evidence(found) if found else self.bias
+            if z >= CLEAR:
+                total -= softplus(z)
+            elif faint is None or z > faint:
+                faint = z
+        return total if faint is None else total - softplus(faint)
 
     def score(self, text: str | None) -> float:
-        p = -math.expm1(self.clean(text or ""))
-        z = math.log(max(p, 1e-12)) - math.log(max(1 - p, 1e-12))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * z + self.shift))))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * logit_of(self, text or "") + self.shift))))
 
     def offending(self, text: str | None, least: float = 0.5) -> list[tuple[int, int, float]]:
         """Start, end and probability of the sentences that reach least."""
@@ -140,8 +145,9 @@ def fit(rows: list[tuple[str, int]]) -> Model:
 
 
 def logit_of(model: Model, text: str) -> float:
+    """Log-odds that a text offends, of at most FARTHEST either way."""
     p = -math.expm1(model.clean(text))
-    return math.log(max(p, 1e-12)) - math.log(max(1 - p, 1e-12))
+    return max(-FARTHEST, min(FARTHEST, math.log(max(p, 1e-12)) - math.log(max(1 - p, 1e-12))))
 
 
 def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:

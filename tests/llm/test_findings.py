@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import jaccard, langid
-from tessera.llm.common import labelled_sample
+from tessera.llm import jaccard, langid, mil
+from tessera.llm.common import fold, labelled_sample
 from tessera.operators import digest
 
 SF = "/root/testdata/sf0.001"
@@ -93,3 +93,23 @@ def test_language_stage_without_a_model_keeps_letters(spark):
 
     df = spark.createDataFrame([(1, "some words", None), (2, "123 !!", None), (3, None, None)], "doc_id long, text string, lang string")
     assert [r.doc_id for r in pipeline.language_id(spark, df, SF).collect()] == [1]
+
+
+# -- toxicity of long texts --------------------------------------------------------------------------------------
+
+
+def test_long_clean_texts_are_not_toxic(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = mil.fit_on(docs, labels, ~held_out)
+    clean = [r.text for r in docs.join(labels.filter(held_out & (F.col("toxic") == 0)), "doc_id").filter("text <> ''").orderBy("doc_id").select("text").collect()]
+    rng = random.Random(1)
+    for size in (30_000, 500_000, 2_400_000):
+        parts = []
+        while sum(map(len, parts)) < size:
+            parts += rng.sample(clean, 20)
+        assert model.score("\n".join(parts)) < 0.7
+    awful = max(model.weights, key=lambda w: model.weights[w] * (w[-1] != "*"))
+    bad = " ".join([awful] + sorted((w for w in model.weights if w[-1] != "*"), key=lambda w: -model.weights[w])[:3]) + "."
+    assert model.score("\n".join(parts + [bad])) > 0.7
