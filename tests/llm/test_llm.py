@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -226,8 +227,12 @@ def test_op4_equals_the_library(spark, edge, docs, empty):
     rng = random.Random(5)
     parts = ["a", "the", " ", "  ", "\n", "\n\n", "\t", "é", "的", "1", "23", "!", "...", "'s", "\x85", "\xa0", "　", "\x1c", "\r\n", "<|endoftext|>", "Ġ", "Word"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(3000)]
-    for t, got in zip(texts, pfor.Encoder(path).batch(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == own.encode(t, add_special_tokens=False).ids, t
+    words = ["Word", "end", "é", "ñu", "的", "x1", "9", "it's", "-", "!", "..", "a#", "ß", "Ǆ", "\x01", "don't,"]
+    texts += [" ".join(rng.choice(words) + rng.choice(["", "", ".", "!", "?", ",", "...", "!!", ".\n"]) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    ids, lengths = pfor.Encoder(path).batch(texts, 7)
+    assert len(lengths) == len(texts) and lengths.sum() == len(ids)
+    for t, got in zip(texts, np.split(ids, np.cumsum(lengths)[:-1])):
+        assert got.tolist() == own.encode(t, add_special_tokens=False).ids + [7], t
     assert pfor.round_trip(empty, path).count() == 0
     for df in (edge, docs):
         rows = sorted(((r.doc_id, r.text) for r in df.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
@@ -243,7 +248,9 @@ def test_op4_equals_the_library(spark, edge, docs, empty):
 def test_op4_index_reaches_any_range(tmp_path):
     ids = np.random.default_rng(1).integers(0, 50_000, 10_000, dtype=np.uint32)
     path = str(tmp_path / "x.pfr")
-    pfor.write_shard(path, [(1, 6_000), (None, 4_000)], pfor.encode_blocks(ids), len(ids))
+    out = pfor.Writer(path)
+    out.add(pa.array([1, None], pa.int64()), np.array([6_000, 4_000]), ids)
+    out.close()
     shard = pfor.Shard(path)
     for a, b in ((0, 0), (5, 9), (1000, 1030), (9_990, 10_000), (0, 10_000)):
         assert (shard.ids(a, b) == ids[a:b]).all()
