@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that go to a Python worker at once; bounds the memory of a batch of long texts.
 BATCH_ROWS = 512
+#: Ids of a label that are ranked, as a multiple of those wanted, and labels that can be learned.
+SLACK, MOST_LABELS = 4, 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,25 +58,26 @@ def labelled_sample(rows: DataFrame, label: str, per_label: int, total: int, max
     """At most per_label rows (doc_id, text, label) of each label and about total in all, in an order fixed by id and text.
 
     The bounds are the caller's documented parameters; of a longer text its first max_chars characters are taken, so what
-    comes to the driver is at most total * max_chars characters. Ids alone are ranked; texts are then fetched for those taken.
+    comes to the driver is at most total * max_chars characters. Ids below a cut-off of a uniform hash, about
+    SLACK * per_label of each of the MOST_LABELS most frequent labels, are ranked on the driver; texts are then fetched for
+    those taken. An id that several rows share counts once, by its least text.
     """
     fit = rows.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
     fit = fit.withColumn("text", F.substring("text", 1, max_chars))
     place = F.xxhash64("doc_id")
-    near = fit.filter(place <= _cutoffs(fit, label, per_label))
-    order = Window.partitionBy(label).orderBy(place, "doc_id")
-    ids = near.select("doc_id", label).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_label)
-    ids = ids.orderBy("rank", label).limit(total).select("doc_id").distinct()
-    return fit.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]).limit(total).select("doc_id", "text", label).collect()
-
-
-def _cutoffs(rows: DataFrame, label: str, per_label: int, slack: int = 4) -> Column:
-    """A bound of the uniform hash below which a label has about slack * per_label rows.
-
-    The rows first in order are below it, so ranking need not gather what a hot label has in all tasks.
-    """
-    counts = rows.filter(F.col(label).isNotNull()).groupBy(label).count().filter(F.col("count") > slack * per_label).orderBy(F.desc("count")).limit(1000).collect()
-    out = F.lit((1 << 63) - 1)
+    counts = fit.groupBy(label).agg(F.approx_count_distinct("doc_id").alias("n")).orderBy(F.desc("n"), label).limit(MOST_LABELS).collect()
+    cut = F.lit(None).cast("long")
     for r in counts:
-        out = F.when(F.col(label) == r[0], F.lit(-(1 << 63) + (1 << 64) * slack * per_label // r[1])).otherwise(out)
-    return out
+        below = (1 << 63) - 1 if r.n <= SLACK * per_label else -(1 << 63) + (1 << 64) * SLACK * per_label // r.n
+        cut = F.when(F.col(label) == r[0], F.lit(below)).otherwise(cut)
+    near = sorted((r.place, r.doc_id, r[1]) for r in fit.filter(place <= cut).select("doc_id", label, place.alias("place")).distinct().collect())
+    seen: dict = {}
+    ranked = []
+    for _, d, y in near:
+        seen[y] = seen.get(y, 0) + 1
+        if seen[y] <= per_label:
+            ranked.append((seen[y], y, d))
+    ids = sorted({d for _, _, d in sorted(ranked)[:total]})
+    taken = rows.sparkSession.createDataFrame([(d,) for d in ids], "doc_id long")
+    texts_ = fit.join(F.broadcast(taken), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", label)).alias("r"))
+    return texts_.select("doc_id", "r.text", F.col("r").getField(label).alias(label)).collect()

@@ -11,12 +11,14 @@ of wholly different texts), the two digest arrays themselves are compared.
 
 Defined results: null and empty texts, and texts of white space alone, have no paragraph; two such are alike (1.0).
 The next document is the next lower doc_id, after the lowest the highest; rows that share an id follow each other in
-the order of their texts' hashes, rows without an id come last; a single document is its own next. All rows are
+the order of their texts' hashes (and meet in parts by these, should an id be shared by over a thousandth of all rows),
+rows without an id come last, in the same order; a single document is its own next. All rows are
 returned; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,15 +26,16 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import texts
 
-PIECE_WORDS, PIECE_CHARS = 16, 64
+PIECE_WORDS, PIECE_CHARS = 32, 64
 #: Cells in each of the three rows of the fingerprint, of a group of the larger sketches, and of a group that failed once
 #: (a digest's cells are bits of a long, so 21 at most).
-ROW, GROUP_ROW, GROUP_AGAIN = 8, 8, 20
+ROW, GROUP_ROW, GROUP_AGAIN = 16, 8, 20
 #: Digests of both texts for each group of cells, at the first and second larger size; rounds of peeling.
 LOADS = (8, 2)
 ROUNDS = 7
-#: Rows of a bucket of neighbouring ids, and buckets at most: SEGMENTS quantiles of as many equal parts.
-BUCKET_ROWS, SEGMENTS, PARTS = 64, 64, 4096
+#: Rows of a bucket of neighbouring ids, and buckets at most: SEGMENTS quantiles of as many equal parts. An id that fills
+#: the space between two of QUANTILES is hot: it is a segment of its own, in parts by the texts' hashes.
+BUCKET_ROWS, SEGMENTS, PARTS, QUANTILES = 64, 64, 4096, 1024
 LOWEST = -(1 << 63)
 
 
@@ -142,10 +145,10 @@ def with_differences(rows: DataFrame, a: str, others: list[str], out: str) -> Da
 
     def first(o: Column) -> Column:
         small = F.abs(F.size(x) - F.size(o["d"])) <= 3 * ROW
-        return F.struct(o["d"].alias("y"), F.when(small, peel(subtract(s, o["s"]), ROW, 0)).alias("r"))
+        return F.struct(o["d"].alias("y"), F.when(small, peel(subtract(s, o["s"]), ROW, 0)).alias("r"), F.lit(1).alias("tries"))
 
     def tries(again: Callable[[Column], Column]) -> DataFrame:
-        one = lambda o: F.struct(o["y"].alias("y"), F.when(o["r"]["ok"], o["r"]).otherwise(again(o["y"])).alias("r"))
+        one = lambda o: F.struct(o["y"].alias("y"), F.when(o["r"]["ok"], o["r"]).otherwise(again(o["y"])).alias("r"), (o["tries"] + F.when(o["r"]["ok"], 0).otherwise(1)).alias("tries"))
         return rows.withColumn(out, F.transform(out, one))
 
     rows = rows.withColumn(out, F.transform(F.array(*map(F.col, others)), first))
@@ -171,27 +174,36 @@ def with_next(docs: DataFrame) -> DataFrame:
     """text and the next document's text (descending doc_id, after the last the first), with one shuffle of texts.
 
     Ids fall into buckets of neighbouring ids: quantiles, each cut into equal parts. The first row of each bucket is
-    also sent to the bucket before it, so that every row meets the next one; the list of first rows is bounded by
-    SEGMENTS * PARTS.
+    also sent to the bucket before it, so that every row meets the next one; the list of first rows is bounded by the
+    number of buckets.
     """
     spark = docs.sparkSession
-    rows = texts(docs).withColumn("key", F.coalesce("doc_id", F.lit(LOWEST)))
-    share = [k / SEGMENTS for k in range(SEGMENTS + 1)]
-    found = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc_id", share, 20_000).alias("q")).first()
-    bounds = sorted({int(x) for x in found.q or [0]})
-    parts = max(1, min(PARTS, round(found.n / BUCKET_ROWS / max(1, len(bounds) - 1))))
-    widths = [max(1.0, (b - a) / parts) for a, b in zip(bounds, bounds[1:])] + [1.0]
-    lows, steps = F.array(*(F.lit(x).cast("bigint") for x in bounds)), F.array(*map(F.lit, widths))
-    segment = F.greatest(F.size(F.filter(lows, lambda x: x <= F.col("key"))) - 1, F.lit(0))
-    rows = rows.withColumn("segment", segment)
-    part = F.floor((F.col("key").cast("double") - F.get(lows, F.col("segment")).cast("double")) / F.get(steps, F.col("segment")))
-    rows = rows.withColumn("bucket", F.col("segment") * PARTS + F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)).cast("int")).drop("segment")
-    firsts = sorted((r.bucket, r.key) for r in rows.groupBy("bucket").agg(F.max("key").alias("key")).collect())
-    lent = [(key, firsts[(i + 1) % len(firsts)][0]) for i, (_, key) in enumerate(firsts)]
-    lent = spark.createDataFrame(lent, "key long, borrower int")
+    rows = texts(docs).withColumn("key", F.coalesce("doc_id", F.lit(LOWEST))).withColumn("h", F.xxhash64("text"))
+    share = [k / QUANTILES for k in range(QUANTILES + 1)]
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id").isNull()).alias("none"), F.percentile_approx("doc_id", share, 20_000).alias("q")).first()
+    q = [int(x) for x in found.q or [0]]
+    shares = {x: n / QUANTILES for x, n in Counter(q).items() if n > 2 and x < -(LOWEST + 1)}
+    if found.none * QUANTILES > found.n:
+        shares[LOWEST] = found.none / found.n
+    bounds = sorted({*q[:: QUANTILES // SEGMENTS], *shares, *(x + 1 for x in shares)})
+    usual = max(1, min(PARTS, round(found.n / BUCKET_ROWS / max(1, len(bounds) - 1))))
+    parts = [max(1, min(PARTS, round(found.n * shares[x] / BUCKET_ROWS))) if x in shares else usual for x in bounds]
+    widths = [max(1.0, (b - a) / n) for a, b, n in zip(bounds, bounds[1:], parts)] + [1.0]
+    each = F.array(*(F.struct(F.lit(x).cast("bigint").alias("low"), F.lit(w).alias("width"), F.lit(n).alias("parts"), F.lit(x in shares).alias("hot")) for x, w, n in zip(bounds, widths, parts)))
+    at = F.greatest(F.size(F.filter(each, lambda x: x["low"] <= F.col("key"))) - 1, F.lit(0))
+    rows = rows.withColumn("at", at).withColumn("own", F.get(each, F.col("at")))
+    by_id = F.floor((F.col("key").cast("double") - F.col("own.low").cast("double")) / F.col("own.width"))
+    by_hash = F.col("own.parts") - 1 - F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * F.col("own.parts"))
+    part = F.greatest(F.least(F.when(F.col("own.hot"), by_hash).otherwise(by_id), F.col("own.parts") - 1), F.lit(0))
+    rows = rows.withColumn("bucket", (F.col("at") * PARTS + part).cast("int")).drop("at", "own")
+    # in descending order of ids, then by hashes, the first row of a bucket: of the largest id the least hash
+    first = F.max(F.struct("key", F.bitwise_not("h").alias("less"))).alias("f")
+    firsts = sorted((r.bucket, r.f.key, ~r.f.less) for r in rows.groupBy("bucket").agg(first).collect())
+    lent = [(key, h, firsts[(i + 1) % len(firsts)][0]) for i, (_, key, h) in enumerate(firsts)]
+    lent = spark.createDataFrame(lent, "key long, h long, borrower int")
     homes = F.when(F.col("borrower").isNull(), F.array(F.struct(F.col("bucket"), F.lit(0).alias("lent")))).otherwise(F.array(F.struct(F.col("bucket"), F.lit(0).alias("lent")), F.struct(F.col("borrower").alias("bucket"), F.lit(1).alias("lent"))))
-    dealt = rows.join(F.broadcast(lent), "key", "left").select("doc_id", "text", "key", F.explode(homes).alias("home")).select("doc_id", "text", "key", "home.bucket", "home.lent")
-    order = Window.partitionBy("bucket").orderBy("lent", F.desc("key"), F.xxhash64("text"))
+    dealt = rows.join(F.broadcast(lent), ["key", "h"], "left").select("doc_id", "text", "key", "h", F.explode(homes).alias("home")).select("doc_id", "text", "key", "h", "home.bucket", "home.lent")
+    order = Window.partitionBy("bucket").orderBy("lent", F.desc("key"), "h")
     text = F.coalesce("text", F.lit(""))
     return dealt.withColumn("next_text", F.lead(text).over(order)).filter("lent = 0").select("doc_id", text.alias("text"), "next_text")
 
@@ -218,4 +230,5 @@ def compare_edits(docs: DataFrame) -> DataFrame:
         likeness(size("f"), size("e"), to_edited).alias("near_edited"),
         likeness(size("f"), size("x"), to_next).alias("near_next"),
         F.size(to_edited["a"]).alias("n_removed"), F.size(to_edited["b"]).alias("n_added"),
+        *(F.get("diff", F.lit(k))["tries"].alias(f"tries_{x}") for k, x in enumerate(("edited", "next"))),
     )

@@ -4,7 +4,7 @@ A source's share p of all tokens (words) becomes the weight p**a / sum(p**a). Th
 the largest that reaches a target entropy (as a share of that of equal weights), but no smaller than the one at which
 the most repeated source meets the repetition limit. Weights times the budget give each source's tokens. Its documents
 fall into BLOCKS blocks by a keyed hash; each epoch is a keyed permutation of the blocks, taken from the front until
-the source's tokens are used up, the last block document by document. Without a given budget it is the least that
+the source's tokens are used up; of the last block parts in a keyed order, of the last part document by document. Without a given budget it is the least that
 keeps every document: the source that gains least is taken exactly once.
 
 Only counts by source and block move, whatever a source's size: hot sources are summed before the shuffle, and
@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import settled
 
 BLOCKS = 1024
+#: Bits of a keyed order that tell the parts of a source's last block.
+PART_BITS = 10
 #: Rows of a plan that are broadcast at most; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Bisection steps that one pass over the sources makes, and passes.
@@ -32,11 +34,17 @@ STEPS, PASSES = 4, 9
 
 
 def marked(docs: DataFrame, seed: str) -> DataFrame:
-    """docs and, as struct _mix, the source's key, the block and the tokens of each row."""
+    """docs and, as struct _mix, the source's key, the block and the keyed order of each row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
     order = F.xxhash64(F.lit(seed), F.col("doc_id"), text)
-    return docs.withColumn("_mix", F.struct(key.alias("key"), F.pmod(order, F.lit(BLOCKS)).cast("int").alias("block"), order.alias("order"), F.greatest(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(1)).cast("long").alias("tokens")))
+    return docs.withColumn("_mix", F.struct(key.alias("key"), F.pmod(order, F.lit(BLOCKS)).cast("int").alias("block"), order.alias("order")))
+
+
+def tokens() -> Column:
+    """The words of a row, one at least."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.greatest(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(1)).cast("long")
 
 
 def at_exponents(sizes: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
@@ -91,7 +99,7 @@ def weights(blocks: DataFrame, entropy: float, repetition: float, budget: int |
 
 def plan(docs: DataFrame, entropy: float = 0.95, repetition: float = 4.0, budget: int | None = None, seed: str = "mix") -> DataFrame:
     """What to take: key, block, epoch, position of the block in its epoch, take (tokens) and whole (all of the block)."""
-    blocks = settled(marked(docs, seed).groupBy("_mix.key", "_mix.block").agg(F.sum("_mix.tokens").alias("tokens")))
+    blocks = settled(marked(docs, seed).groupBy("_mix.key", "_mix.block").agg(F.sum(tokens()).alias("tokens")))
     sources = weights(blocks, entropy, repetition, budget).withColumnRenamed("tokens", "size")
     epochs = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("target") / F.col("size")).cast("long") - 1, F.lit(0).cast("long")))
     each = blocks.join(sources, "key").select("key", "block", "tokens", "size", "target", "weight", F.explode(epochs).alias("epoch"))
@@ -104,18 +112,33 @@ def plan(docs: DataFrame, entropy: float = 0.95, repetition: float = 4.0, budget
 
 def realise(docs: DataFrame, planned: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of docs as often as planned, with struct _mix that also has epoch, position and weight."""
-    small = planned.count() <= BROADCAST_ROWS
-    p = planned.alias("p")
-    rows = marked(docs, seed).join(F.broadcast(p) if small else p, (F.col("_mix.key") == F.col("p.key")) & (F.col("_mix.block") == F.col("p.block")))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    extra = [F.col("_mix.order").alias("order"), F.col("_mix.tokens").alias("tokens"), *(F.col(f"p.{c}").alias(c) for c in ("key", "block", "epoch", "position", "weight"))]
-    whole = rows.filter("p.whole").select(*names, F.struct(*extra).alias("_mix"))
-    part = rows.filter("not p.whole").select(*names, F.struct(*extra, F.col("p.take").alias("take")).alias("_mix"))
-    # the last block of each source: its rows in a keyed order until the tokens are used up
-    order = Window.partitionBy("_mix.key", "_mix.epoch", "_mix.block").orderBy(F.xxhash64("_mix.order", "_mix.epoch"), "_mix.order", "doc_id")
-    before = F.coalesce(F.sum("_mix.tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    part = part.withColumn("_before", before).filter("_before < _mix.take").select(*names, F.struct(*(F.col(f"_mix.{c}").alias(c) for c in ("order", "tokens", "key", "block", "epoch", "position", "weight"))).alias("_mix"))
-    return whole.unionByName(part)
+    kept = ("key", "block", "epoch", "position", "weight")
+
+    def met(p: DataFrame, *more: str) -> DataFrame:
+        """docs with the rows of p of their block; tokens are counted for those alone."""
+        p = (F.broadcast(p) if p.count() <= BROADCAST_ROWS else p).alias("p")
+        rows = marked(docs, seed).join(p, (F.col("_mix.key") == F.col("p.key")) & (F.col("_mix.block") == F.col("p.block")))
+        extra = [F.col("_mix.order").alias("order"), tokens().alias("tokens"), *(F.col(f"p.{c}").alias(c) for c in (*kept, *more))]
+        return rows.select(*names, F.struct(*extra).alias("_mix"))
+
+    whole = met(planned.filter("whole"))
+    cut = planned.filter("not whole")
+    # the last block of each source in a keyed order: sums of its parts tell which to take, rows those of the last part
+    hashed = F.xxhash64("_mix.order", "_mix.epoch")
+    part = F.shiftright(hashed, 64 - PART_BITS).cast("int")
+    sums = met(cut, "take").groupBy("_mix.key", "_mix.block", "_mix.epoch", "_mix.take", part.alias("part")).agg(F.sum("_mix.tokens").alias("tokens"))
+    by_part = Window.partitionBy("key", "block", "epoch").orderBy("part")
+    before = F.coalesce(F.sum("tokens").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = settled(sums.withColumn("before", before).filter("before < take").select("key", "block", "epoch", "part", "before", (F.col("before") + F.col("tokens") <= F.col("take")).alias("all")))
+    p = (F.broadcast(parts) if parts.count() <= BROADCAST_ROWS else parts).alias("q")
+    same = [F.col(f"_mix.{c}") == F.col(f"q.{c}") for c in ("key", "block", "epoch")] + [part == F.col("q.part")]
+    taken = met(cut, "take").join(p, same)
+    plain = F.struct(*(F.col(f"_mix.{c}").alias(c) for c in ("order", "tokens", *kept))).alias("_mix")
+    order = Window.partitionBy("_mix.key", "_mix.epoch", "_mix.block").orderBy(hashed, "_mix.order", "doc_id")
+    inside = F.col("q.before") + F.coalesce(F.sum("_mix.tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = taken.filter(~F.col("q.all")).withColumn("_inside", inside).filter("_inside < _mix.take").select(*names, plain)
+    return whole.select(*names, plain).unionByName(taken.filter("q.all").select(*names, plain)).unionByName(last)
 
 
 def mix(docs: DataFrame, entropy: float = 0.95, repetition: float = 4.0, budget: int | None = None, seed: str = "mix") -> DataFrame:

@@ -389,7 +389,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, shards:
             row = {"part": part, "path": path, "n_docs": sum(map(len, out.lengths)), "n_ids": out.n_ids, "first": first}
             yield pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first", pa.int64())]))
 
-    dealt = texts(docs).repartitionByRange(shards, "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
+    dealt = texts(docs).repartitionByRange(shards, "doc_id", F.substring("text", 1, 16)).sortWithinPartitions("doc_id", "text")
     return sorted(dealt.mapInArrow(run, SHARDS_SCHEMA).collect(), key=lambda r: r.part)
 
 

@@ -2,7 +2,7 @@
 
 Encoding is exact by backtracking: Aho-Corasick gives all pieces of a chunk; the longest piece is tried first at each
 place, a pair of neighbours is accepted only if merging their joined text anew gives the same two, a place that
-turned out to lead nowhere is cleared in a bitfield, and shorter pieces (the next shorter at the same place) follow.
+turned out to lead nowhere is marked in a bitfield, and shorter pieces (the next shorter at the same place) follow.
 Characters without a piece stand for themselves and become byte pieces.
 
 No piece joins a non-space to a following space mark, and a line feed is in no piece but alone, so a text falls into
@@ -118,7 +118,7 @@ class Model:
         for end, size in self.automaton.iter(chunk):
             at[end - size + 1].append(size)
         fits, known = self.fits, self._fits.get
-        open_ = (1 << (n + 1)) - 1  # bitfield: places from which the rest may still be encoded
+        failed = bytearray((n >> 3) + 1)  # bitfield: places from which the rest can't be encoded
         out: list[str] = []
         left: list[int] = []  # for each symbol, which of its place's lengths it took
         pos, k, last = 0, len(at[0]) - 1, ""
@@ -126,7 +126,7 @@ class Model:
             sizes = at[pos]
             while k >= 0:
                 end = pos + sizes[k]
-                if open_ >> end & 1:
+                if not failed[end >> 3] >> (end & 7) & 1:
                     s = chunk[pos:end]
                     ok = known((last, s))
                     if ok or ok is None and fits(last, s):
@@ -139,7 +139,7 @@ class Model:
                 left.append(k)
                 pos, last, k = end, s, len(at[end]) - 1
             else:
-                open_ &= ~(1 << pos)
+                failed[pos >> 3] |= 1 << (pos & 7)
                 if not out:
                     raise AssertionError("every text has an encoding")
                 pos -= len(out.pop())

@@ -1,5 +1,6 @@
 """Each operator against brute force, an exact round trip or held-out accuracy, and its edge cases."""
 
+import datetime
 import hashlib
 import math
 import random
@@ -292,9 +293,76 @@ def test_op5_keeps_entities_distinct(spark):
     assert sum(other[i].text == new[i].text for i, _ in rows) == 0
 
 
-def test_op5_digit_permutation_is_one_to_one(spark):
-    got = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select(surrogates.digits(F.col("d"), "k", F.lit("s")).alias("n"))
-    assert sorted(r.n for r in got.collect()) == [f"{i:03}" for i in range(1000)]
+def test_op5_digit_permutation_is_one_to_one_and_moves_all(spark):
+    got = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select("d", surrogates.digits(F.col("d"), "k", F.lit("s")).alias("n")).collect()
+    assert sorted(r.n for r in got) == [f"{i:03}" for i in range(1000)] and all(r.d != r.n for r in got)
+
+
+def test_op5_dates_are_one_to_one(spark):
+    days = [datetime.date(1960, 1, 1) + datetime.timedelta(k) for k in range(0, 3000)]
+    rows = [(f"{d:%Y-%m-%d}",) for d in days] + [(f"{d:%d.%m.%Y}",) for d in days[:500]]
+    got = spark.createDataFrame(rows, "d string").select("d", surrogates.born(F.col("d"), "k", F.lit("0")).alias("n")).collect()
+    assert len({r.n for r in got}) == len(rows) and all(r.d != r.n for r in got)
+    for r in got:
+        datetime.datetime.strptime(r.n, "%Y-%m-%d" if "-" in r.d else "%d.%m.%Y")
+
+
+def test_op5_ibans_keep_their_checks(spark):
+    def valid(t):
+        t = t.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+
+    good = ["GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819", "DE89370400440532013000", "FR1420041010050500013M02606", "ES9121000418450200051332"]
+    rows = [(k, f"To {x}, please.") for k, x in enumerate(good + ["DE88370400440532013000"])]
+    got = [t[3:-9] for t in (r.text for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k").orderBy("doc_id").collect())]
+    assert [valid(x) for x in got] == [True] * 5 + [False] and got[0].replace(" ", "") == got[1]
+    assert all(x[:2] == y[:2] and len(x) == len(y) and x != y for x, y in zip(got, good)) and len(set(got)) == 6
+
+
+#: Sentences by the entities in them; none of these may stay, and the sentences of the second list must.
+PRIVATE = [
+    ("Mr. John Smith called.", "John Smith"), ("Dr. Maria Garcia wrote.", "Maria Garcia"), ("Yesterday Ana Lopez left.", "Ana Lopez"),
+    ("Prof Иванов пришёл.", "Иванов"), ("Sra. Carmen Ruiz y Pilar Gómez.", "Carmen Ruiz Pilar Gómez"), ("王伟先生来了。", "王伟"), ("Mr. 李娜 spoke.", "李娜"),
+    ("Reach 2001:db8:85a3::8a2e:370:7334 now.", "2001:db8:85a3::8a2e:370:7334"), ("Ring 020 7946 0958 today.", "7946 0958"), ("Ring +49 30 901820 today.", "901820"),
+    ("She was born on 1980-03-07.", "1980-03-07"), ("DOB: 24/12/1975.", "24/12/1975"), ("Passport no. X1234567 is lost.", "1234567"),
+    ("He lives at 221 Baker Street.", "221 Baker"), ("Host 10.20.30.40 is up.", "10.20.30.40"), ("SSN 123-45-6789.", "123-45-6789"),
+    ("Card 4111 1111 1111 1111.", "4111"), ("Write to ana.l@example.org.", "ana.l @example.org"), ("IBAN DE89370400440532013000.", "0532013000"),
+]
+HARMLESS = ["The court met on Main Hill.", "std::vector and a::b are types.", "On 2020-01-02 we shipped 1.2.3.", "Call it 12 or 3.14 or 1,000,000.", "John came.", "Chapter 12 Street life.", "At 10:30:45 it rang.", "Isbn 978 and no. 123456."]
+
+
+def test_op5_recall_and_precision(spark):
+    rows = [(k, t) for k, t in enumerate([t for t, _ in PRIVATE] + HARMLESS)]
+    got = by_id(surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k"))
+    for k, (_, gone) in enumerate(PRIVATE):
+        for word in gone.split(" "):
+            assert word not in got[k].text, (word, got[k].text)
+    assert [got[len(PRIVATE) + k].text for k in range(len(HARMLESS))] == HARMLESS
+
+
+def test_op5_names_agree_after_collisions(spark):
+    family = [f"Na{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"] * 4
+    family = [f + x for f, x in zip(family, [""] * 150 + ["ka"] * 150 + ["vo"] * 150 + ["ti"] * 150)]
+    rows = [(k, f"Mr. {f} came. Mr. John {f} spoke, and {f} left.") for k, f in enumerate(family)]
+    text = spark.createDataFrame(rows, "doc_id long, text string")
+    words = [re.findall(r"^Mr\. (\S+) came\. Mr\. (\S+) (\S+) spoke, and (\S+) left\.$", r.text)[0] for r in surrogates.replace(text, "k").orderBy("doc_id").collect()]
+    assert all(a == c == d for a, _, c, d in words) and len({a for a, *_ in words}) == len(family) and len({b for _, b, *_ in words}) == 1
+    assert any("-" in a for a, *_ in words)  # some collided
+
+
+def test_op5_many_collisions_join_only_texts_with_entities(spark, monkeypatch):
+    family = [f"Na{a}{b}{c}{d}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst" for d in ("", "ka", "vo", "ti")]
+    rows = [(k, f"Mr. {f} came.") for k, f in enumerate(family)] + [(None, None), (None, ""), (-1, "none here"), (5, rows_text := "Mr. Nabal came."), (5, rows_text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, surrogates.replace(df, "k").collect()))
+    monkeypatch.setattr(surrogates, "MOST_LISTED", 0)
+    assert sorted(map(str, surrogates.replace(df, "k").collect())) == want
+
+
+def test_op5_raises_where_collisions_remain(spark):
+    found = spark.createDataFrame([(f"n\x1fName{k}",) for k in range(3000)], "entity string")
+    with pytest.raises(ValueError):
+        surrogates.collisions(found, "k", most_rounds=1)
 
 
 def test_op5_edges(edge, empty):
