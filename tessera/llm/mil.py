@@ -30,9 +30,9 @@ from tessera.llm.common import labelled_sample, small_batches, texts
 #: The sample's bounds: rows of a label, characters of a text.
 PER_LABEL, MAX_CHARS = 2500, 20_000
 #: Documents that a word must be in; passes; step; L1 strength on the mean gradient.
-MIN_DOCS, STEPS, RATE, L1 = 5, 150, 0.7, 0.0004
+MIN_DOCS, STEPS, RATE, L1 = 5, 150, 0.7, 0.0001
 #: Log-odds of a sentence without evidence.
-BIAS = -10.0
+BIAS = -6.0
 #: Log-odds (probability 0.9) from which a sentence has clear evidence.
 CLEAR = 2.2
 #: Log-odds of a document beyond which calibration sees no difference, so that few far ones do not flatten the curve.
