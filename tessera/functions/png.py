@@ -115,6 +115,20 @@ def decode(data: bytes) -> tuple[np.ndarray, int]:
     return values.reshape(height, width, n), colour
 
 
+def rgb(data: bytes) -> np.ndarray:
+    """Pixels as 8-bit red, green and blue: palettes are looked up, alpha is dropped, of 16 bits the upper 8 are kept."""
+    values, colour = decode(data)
+    if values.dtype == np.uint16:
+        values = (values >> 8).astype(np.uint8)
+    if colour == 3:
+        table = b"".join(x for kind, x in chunks(data) if kind == b"PLTE")
+        table = np.frombuffer(table[: len(table) // 3 * 3], np.uint8).reshape(-1, 3)
+        if values.size and int(values.max()) >= len(table):
+            raise ImageError("undecodable", "palette index out of range")
+        return table[values[:, :, 0]]
+    return np.ascontiguousarray(values[:, :, :3]) if colour in (2, 6) else np.repeat(values[:, :, :1], 3, axis=2)
+
+
 def mask(data: bytes) -> tuple[np.ndarray, list[int]]:
     """A 0/1 mask and its sorted raw values. Colour, and alpha that is not opaque, are errors."""
     values, colour = decode(data)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Most members and most bytes of an archive.
 MOST_MEMBERS, MOST_BYTES = 20_000, 5 << 30
+#: Members, and bytes of their content, that leave a worker together.
+BATCH_MEMBERS, BATCH_BYTES = 1000, 16 << 20
 
 
 def path_fault(name: Column) -> Column:
@@ -33,19 +35,36 @@ def totals(members: DataFrame, archive: str) -> DataFrame:
     return got.withColumn("beyond_limits", (F.col("members") > MOST_MEMBERS) | (F.col("bytes") > MOST_BYTES))
 
 
-def read_members(files: DataFrame, with_content: bool = False) -> DataFrame:
-    """path, n, name, kind, size and, if asked for, content of the members of tar.gz files (binaryFile rows)."""
+def read_members(files: DataFrame, with_content: bool = False, most_members: int = MOST_MEMBERS, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """path, n, name, kind, size and, if asked for, content of the members of tar.gz files (binaryFile rows).
+
+    Reading stops at the first member beyond a limit, which is still listed so that totals() tells; members leave in
+    batches of BATCH_MEMBERS rows or BATCH_BYTES of content.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
+        held = 0
         for b in batches:
             for path, data in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                total = 0
                 with tarfile.open(fileobj=io.BytesIO(data), mode="r:gz") as tar:
                     for n, m in enumerate(tar):
                         kind = "file" if m.isreg() else "dir" if m.isdir() else "link" if m.issym() or m.islnk() else "other"
                         row = {"path": path, "n": n, "name": m.name, "kind": kind, "size": m.size}
+                        total += m.size
+                        over = n >= most_members or total > most_bytes
                         if with_content:
-                            row["content"] = tar.extractfile(m).read() if kind == "file" else None
-                        yield pa.RecordBatch.from_pylist([row], schema)
+                            row["content"] = tar.extractfile(m).read() if kind == "file" and not over else None
+                            held += m.size
+                        rows.append(row)
+                        if len(rows) >= BATCH_MEMBERS or held >= BATCH_BYTES:
+                            yield pa.RecordBatch.from_pylist(rows, schema)
+                            rows, held = [], 0
+                        if over:
+                            break
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     fields = [("path", pa.string()), ("n", pa.int64()), ("name", pa.string()), ("kind", pa.string()), ("size", pa.int64())] + [("content", pa.binary())] * with_content
     schema = pa.schema(fields)

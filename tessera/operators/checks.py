@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: States of a remote job that it does not leave.
+TERMINAL = ("Completed", "Failed", "Stopped")
+
+
+def terminal(state: Column) -> Column:
+    return state.isin(*TERMINAL)
+
+
 class DatasetError(ValueError):
     """A dataset or its options break a rule; the message lists reasons and the first offending keys."""
 

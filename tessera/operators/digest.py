@@ -36,8 +36,8 @@ def duplicate_members(rows: DataFrame, digest: str, name: str) -> DataFrame:
 
 
 def conflicts(rows: DataFrame, digest: str, *parts: str) -> DataFrame:
-    """digest and n_variants of groups of equal content that differ in the parts (null is a value of its own)."""
-    variant = F.to_json(F.struct(*(F.coalesce(F.col(p).cast("string"), F.lit("")).alias(f"p{k}") for k, p in enumerate(parts))))
+    """digest and n_variants of groups of equal content that differ in the parts (null is a value of its own, not '')."""
+    variant = F.to_json(F.struct(*(F.col(p).cast("string").alias(f"p{k}") for k, p in enumerate(parts))), {"ignoreNullFields": "false"})
     return rows.select(digest, variant.alias("variant")).distinct().groupBy(digest).agg(F.count(F.lit(1)).alias("n_variants")).filter("n_variants > 1")
 
 
@@ -51,9 +51,28 @@ def leaks(rows: DataFrame, split: str, **digests: str) -> DataFrame:
     return found.filter(F.size("splits") > 1)
 
 
+def json_text(text: Column) -> Column:
+    """A string as JSON in ASCII, quotes included: short escapes where JSON has them, else four hexadecimal digits, two
+    such for characters beyond the basic plane."""
+    short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+    unit = lambda n: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(n.cast("long")), 4, "0")))
+
+    def one(c: Column) -> Column:
+        n = F.ascii(c)
+        out = F.when(n < 0x20, unit(n)).when(n < 0x7F, c).when(n < 0x10000, unit(n))
+        out = out.otherwise(F.concat(unit(F.floor((n - 0x10000) / 0x400) + 0xD800), unit((n - 0x10000) % 0x400 + 0xDC00)))
+        for k, v in short.items():
+            out = F.when(c == k, F.lit(v)).otherwise(out)
+        return out
+
+    each = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: one(F.substring(text, i, F.lit(1))))
+    plain = text.rlike(r"^[ !#-\[\]-~]*$")
+    return F.concat(F.lit('"'), F.when(plain, text).otherwise(F.array_join(each, "")), F.lit('"'))
+
+
 def file_json(path: Column, digest: Column, size: Column) -> Column:
     """One entry of a file list as JSON text with sorted keys and spaces after separators, ASCII paths."""
-    return F.concat(F.lit('{"bytes": '), size.cast("string"), F.lit(', "path": "'), path, F.lit('", "sha256": "'), digest, F.lit('"}'))
+    return F.concat(F.lit('{"bytes": '), size.cast("string"), F.lit(', "path": '), json_text(path), F.lit(', "sha256": "'), digest, F.lit('"}'))
 
 
 def fingerprint(files: DataFrame, order: list[str], by: str | None = None) -> DataFrame:

@@ -48,19 +48,19 @@ def shuffle_key(seed: Column, stratum: Column, key: Column) -> Column:
     return F.sha2(F.concat(F.lit("split-v1:"), seed.cast("string"), F.lit(":"), stratum, F.lit(":"), key), 256)
 
 
-
-
-def _ranked_scaled(groups: DataFrame, stratum: str, key: str, seed: int, buckets: int) -> DataFrame:
+def _ranked_scaled(groups: DataFrame, stratum: str, key: str, seed: int, buckets: int, share: DataFrame) -> DataFrame:
     """Ranks of a stratum without one task for all of it: buckets by the first digits of the shuffle key, which is
-    uniform, are counted, offsets are summed over buckets, and ranks run inside each bucket."""
-    digest = shuffle_key(F.lit(seed), F.col(stratum), F.col(key))
+    uniform, are counted, offsets are summed over buckets, and ranks run inside each bucket. The stratum's bounds
+    (share) come along with the offsets."""
+    digest = shuffle_key(F.lit(seed), F.coalesce(F.col(stratum).cast("string"), F.lit("")), F.col(key).cast("string"))
     rows = groups.withColumn("_k", digest).withColumn("_b", (F.conv(F.substring("_k", 1, 6), 16, 10).cast("long") * buckets / (1 << 24)).cast("int"))
-    sizes = rows.groupBy(stratum, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(stratum).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.col(stratum).alias("_os"), F.col("_b").alias("_ob")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_os").orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    sizes = sizes.join(share, F.col("_os").eqNullSafe(F.col("_bs"))).drop("_bs")
     inner = Window.partitionBy(stratum, "_b").orderBy("_k", key)
-    rows = rows.withColumn("_r", F.row_number().over(inner)).join(sizes, [stratum, "_b"])
-    return rows.withColumn("rank", (F.col("_before") + F.col("_r")).cast("long")).drop("_k", "_b", "_r", "_before")
+    rows = rows.withColumn("_r", F.row_number().over(inner)).join(sizes, F.col(stratum).eqNullSafe(F.col("_os")) & (F.col("_b") == F.col("_ob")))
+    return rows.withColumn("rank", (F.col("_before") + F.col("_r")).cast("long")).drop("_k", "_b", "_r", "_before", "_os", "_ob")
 
 
 def _compat(groups: DataFrame, stratum: str, key: str, seed: int, prefix: str) -> DataFrame:
@@ -79,21 +79,21 @@ def _compat(groups: DataFrame, stratum: str, key: str, seed: int, prefix: str) -
 def assign(rows: DataFrame, stratum: str, digest: str, name: str, ratios=RATIOS, seed: int = 42, mode: str = "hash", buckets: int = 256, prefix: str = "split-v1") -> DataFrame:
     """rows with their split: rows of equal digest go together, strata are apportioned by groups.
 
-    mode hash (default) shuffles by a digest, compat by Python's generator, seeded
-    with prefix:seed:stratum.
+    mode hash (default) shuffles by a digest, compat by Python's generator, seeded with prefix:seed:stratum. A null
+    stratum is a stratum, and the rows without a digest of a stratum are one group, so all rows are kept.
     """
     groups = rows.groupBy(stratum, digest).agg(F.min(name).alias("_first"))
-    if mode == "compat":
-        ranked = _compat(groups, stratum, "_first", seed, prefix)
-    else:
-        ranked = _ranked_scaled(groups, stratum, "_first", seed, buckets)
     totals = groups.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
-    share = quotas(totals, ratios)
     upto = F.sum("quota").over(Window.partitionBy(stratum).orderBy("split_index").rowsBetween(Window.unboundedPreceding, 0))
-    share = share.withColumn("hi", upto).withColumn("lo", F.col("hi") - F.col("quota"))
-    hit = (ranked[stratum] == share[stratum]) & (ranked["rank"] > share["lo"]) & (ranked["rank"] <= share["hi"])
-    chosen = ranked.join(F.broadcast(share), hit).select(ranked[stratum], ranked[digest], share["split"])  # three rows a stratum
-    return rows.join(chosen, [stratum, digest])
+    share = quotas(totals, ratios).withColumn("hi", upto)
+    share = share.groupBy(F.col(stratum).alias("_bs")).agg(F.array_sort(F.collect_list(F.struct("split_index", "hi", "split"))).alias("_bounds"))  # three each
+    if mode == "compat":
+        ranked = _compat(groups, stratum, "_first", seed, prefix).join(share, F.col(stratum).eqNullSafe(F.col("_bs"))).drop("_bs")
+    else:
+        ranked = _ranked_scaled(groups, stratum, "_first", seed, buckets, share)
+    split = F.filter("_bounds", lambda b: F.col("rank") <= b["hi"])[0]["split"]
+    chosen = ranked.select(F.col(stratum).alias("_cs"), F.col(digest).alias("_cd"), split.alias("split"))
+    return rows.join(chosen, F.col(stratum).eqNullSafe(F.col("_cs")) & F.col(digest).eqNullSafe(F.col("_cd"))).drop("_cs", "_cd")
 
 
 def summary(rows: DataFrame, condition: str, normal: str, n_boxes: Column) -> DataFrame:

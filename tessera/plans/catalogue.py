@@ -8,13 +8,13 @@ and page addresses for file names, events for log lines.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.labelling import Options, label_masks
 from tessera.operators import archive, checks, config, digest, geometry, labels, names, pairing, splits
+from tessera.sources.shared import shared_dir
 from tessera.streaming import metrics
 
 QUERIES: dict = {}
@@ -160,7 +160,7 @@ def pixel_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digested(spark, sf_dir).select("doc_id", "digest")
 
 
-@query(f"{_D} SELECT digest, count(*)::BIGINT AS n, min(doc_id) AS first, CASE WHEN count(*) <= 100 THEN string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) END AS members FROM d GROUP BY digest HAVING count(*) > 1")
+@query(f"{_D} SELECT digest, count(*)::BIGINT AS n, min(doc_id) AS first, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS members FROM d GROUP BY digest HAVING count(*) > 1")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = digest.duplicate_groups(digested(spark, sf_dir), "digest", "doc_id")
     return got.select("digest", "n", "first", F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
@@ -395,7 +395,7 @@ def archive_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("event_id") % 2 == 0, "metrics/mAP50(B)").when(F.col("event_id") % 3 == 0, "metrics/mAP50-95(B)").otherwise("loss")
-    return read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("epoch "), F.lit("VISA_METRIC "), name, F.lit("=0."), F.lpad((F.col("event_id") % 9973).cast("string"), 4, "0")).alias("value"))
+    return read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("epoch "), F.lit(f"{metrics.MARK} "), name, F.lit("=0."), F.lpad((F.col("event_id") % 9973).cast("string"), 4, "0")).alias("value"))
 
 
 @query(r"""WITH l AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'metrics/mAP50(B)' WHEN event_id % 3 = 0 THEN 'metrics/mAP50-95(B)' ELSE 'loss' END AS metric, '0.' || lpad((event_id % 9973)::VARCHAR, 4, '0') AS v FROM events)
@@ -404,11 +404,11 @@ def metric_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.extracted(log_lines(spark, sf_dir)).select("event_id", "metric", "metric_value")
 
 
-@query(None)
+@query(r"""WITH l AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'metrics/mAP50(B)' WHEN event_id % 3 = 0 THEN 'metrics/mAP50-95(B)' ELSE 'loss' END AS metric, '0.' || lpad((event_id % 9973)::VARCHAR, 4, '0') AS v FROM events)
+SELECT metric, v::DOUBLE AS metric_value FROM l WHERE metric <> 'loss'""")
 def metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as a file stream into a Parquet sink, run until all that is there is processed."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
-    folder = f"{base.rstrip('/')}/metric-stream-{os.urandom(8).hex()}"
+    folder = f"{shared_dir(spark).rstrip('/')}/metric-stream-{os.urandom(8).hex()}"
     log_lines(spark, sf_dir).select("value").write.text(f"{folder}/lines")
     got = metrics.stream(spark, f"{folder}/lines").select("metric", "metric_value")
     got.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()

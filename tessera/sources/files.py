@@ -1,11 +1,15 @@
-"""Scans: flat image and mask folders, label files, split folders; paths resolved on the driver, bytes read by Spark."""
+"""Scans: flat image and mask folders, label files, split folders; names listed on the driver, bytes read by workers."""
 
 from __future__ import annotations
 
+import hashlib
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators import names
 from tessera.operators.checks import DatasetError
@@ -49,37 +53,72 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(x.name, x.is_dir()) for x in sorted(os.scandir(folder), key=lambda x: (x.name.casefold(), x.name))], "name string, is_dir boolean")
 
 
+def paths(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
+    """name, path and length of the regular files of a folder, by name. Spark's file sources would hide names that begin
+    with an underscore and files of no length, so the driver lists; links and other odd files are an error."""
+    found = []
+    for x in sorted(os.scandir(folder), key=lambda x: x.name):
+        if x.is_symlink() or not (x.is_dir() or x.is_file()):
+            raise DatasetError(f"not_regular: {x.path}")
+        if x.is_file():
+            found.append((x.name, x.path, x.stat().st_size))
+    return found
+
+
 def scan(spark: SparkSession, folder: str, masks: bool = False) -> DataFrame:
-    """path, name, stem, key, length and content of a folder's images or masks; content is pruned where unused."""
+    """path, name, stem, key and length of a folder's images or masks. Workers read contents where they need them (read
+    and digests below), so bytes never pass a shuffle; the folder is one that driver and executors share."""
     wanted = names.MASK_EXTENSIONS if masks else names.IMAGE_EXTENSIONS
-    files = spark.read.format("binaryFile").load(folder)
-    name = names.base(F.col("path"))
-    rows = files.select("path", name.alias("name"), names.stem(name).alias("stem"), names.key(name).alias("key"), "length", "content")
+    files = spark.createDataFrame(paths(spark, folder), "name string, path string, length long")
+    rows = files.select("path", "name", names.stem(F.col("name")).alias("stem"), names.key(F.col("name")).alias("key"), "length")
     return rows.filter(names.listed(F.col("name")) & names.has_extension(F.col("name"), wanted))
 
 
-def label_files(spark: SparkSession, folder: str) -> DataFrame:
-    """stem, value (the whole text), sha256 and bytes of every label file of a folder.
+def read(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def sha256(path: str) -> str:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def digests(rows: DataFrame, path: str = "path", out: str = "sha256") -> DataFrame:
+    """rows with the digest of the file that a column names, read in pieces; null where there is none."""
+    return with_column(rows, path, out, lambda p: None if p is None else sha256(p))
 
-    Spark's file sources skip files of no length, which are meaningful here (an image without objects), so the names
-    come from a listing on the driver and the contents are joined to it.
-    """
-    listed = spark.createDataFrame([(x,) for x in sorted(os.listdir(folder)) if x.endswith(".txt") and not x.startswith(".")], "name string")
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
-    found = found.select(names.base(F.col("path")).alias("name"), "content")
-    content = F.coalesce("content", F.lit(b""))
-    return listed.join(found, "name", "left").select(names.stem(F.col("name")).alias("stem"), F.decode(content, "UTF-8").alias("value"), F.sha2(content, 256).alias("sha256"), F.octet_length(content).cast("long").alias("bytes"))
+
+def with_column(rows: DataFrame, path: str, out: str, body: Callable[[str | None], str | None]) -> DataFrame:
+    """rows with a string column made from a column of paths by the workers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([body(p) for p in b.column(path).to_pylist()], pa.string())], [*b.schema.names, out])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))
+
+
+def label_files(spark: SparkSession, folder: str) -> DataFrame:
+    """stem, value (the whole text), sha256 and bytes of every label file of a folder; empty ones are images without
+    objects."""
+    listed = [x for x in paths(spark, folder) if x[0].endswith(".txt") and not x[0].startswith(".")]
+    found = digests(spark.createDataFrame(listed, "name string, path string, bytes long"))
+    found = with_column(found, "path", "value", lambda p: read(p).decode("utf-8", "replace"))
+    return found.select(names.stem(F.col("name")).alias("stem"), "value", "sha256", "bytes")
 
 
 def split_images(spark: SparkSession, root: str, splits: tuple[str, ...]) -> DataFrame:
     """split, path, name, stem, sha256 and bytes of the images of each split; a split without any is an error."""
     out = None
     for split in splits:
-        folder = os.path.join(root, "images", split)
-        if not os.path.isdir(folder) or os.path.islink(folder):
-            raise DatasetError(f"missing_dir: {folder}")
-        rows = scan(spark, folder).select(F.lit(split).alias("split"), "path", "name", "stem", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+        for kind in ("images", "labels"):
+            folder = os.path.join(root, kind, split)
+            if not os.path.isdir(folder) or os.path.islink(folder):
+                raise DatasetError(f"missing_dir: {folder}")
+        rows = scan(spark, os.path.join(root, "images", split))
         if not rows.head(1):
-            raise DatasetError(f"no_images: {folder}")
+            raise DatasetError(f"no_images: {os.path.join(root, 'images', split)}")
+        rows = digests(rows).select(F.lit(split).alias("split"), "path", "name", "stem", "sha256", F.col("length").alias("bytes"))
         out = rows if out is None else out.unionByName(rows)
     return out

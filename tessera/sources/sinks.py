@@ -6,7 +6,6 @@ that. Every file is written under a temporary name first, so a task that runs ag
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import shutil
@@ -16,6 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row
 
 from tessera.operators.checks import DatasetError
+from tessera.sources.files import sha256
 
 
 def put(path: str, data: bytes) -> None:
@@ -47,19 +47,26 @@ def published(stage: str, output: str, fill) -> None:
 
 
 def copy_images(rows: DataFrame, stage: str) -> None:
-    """Write images/<split>/<output_name> and labels/<split>/<stem>.txt of rows (content, image_sha256, label_text)."""
+    """Copy each image to images/<split>/<output_name> and write labels/<split>/<stem>.txt.
+
+    rows: split, output_name, source and mask (paths), image_sha256, mask_sha256, label_text. The written copy and the
+    mask must have the recorded digests, else a source has changed since it was read.
+    """
     for split in ("train", "val", "test"):
         for kind in ("images", "labels"):
             os.makedirs(os.path.join(stage, kind, split), exist_ok=True)
 
     def write(part: Iterator[Row]) -> None:
         for r in part:
-            if hashlib.sha256(r.content).hexdigest() != r.image_sha256:
+            target = os.path.join(stage, "images", r.split, r.output_name)
+            temp = f"{target}.{uuid.uuid4().hex}.tmp"
+            shutil.copyfile(r.source, temp)
+            if sha256(temp) != r.image_sha256 or r.mask is not None and sha256(r.mask) != r.mask_sha256:
                 raise DatasetError(f"source_changed: {r.output_name}")
-            put(os.path.join(stage, "images", r.split, r.output_name), bytes(r.content))
+            os.replace(temp, target)
             put(os.path.join(stage, "labels", r.split, os.path.splitext(r.output_name)[0] + ".txt"), r.label_text.encode())
 
-    rows.select("split", "output_name", "content", "image_sha256", "label_text").foreachPartition(write)
+    rows.select("split", "output_name", "source", "mask", "image_sha256", "mask_sha256", "label_text").foreachPartition(write)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

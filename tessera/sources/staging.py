@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import os
 import shutil
 import tarfile
@@ -11,8 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import archive, checks, pairing
-from tessera.sources.sinks import put, write_json
+from tessera.operators import archive, checks
+from tessera.sources.files import sha256, with_column
+from tessera.sources.sinks import write_json
 
 
 def read_yaml(path: str) -> dict:
@@ -28,48 +28,66 @@ def read_yaml(path: str) -> dict:
     return value
 
 
-def check_descriptor(value: dict, names: dict | list = {0: "defect"}) -> None:
-    """The one class, no download, and split folders that stay inside the dataset."""
+def check_descriptor(value: dict, class_name: str = "defect", needed: tuple[str, ...] = ()) -> None:
+    """The one class, no download, and for each split (those needed must be there) its folder in the dataset."""
     found = value.get("names")
-    if (dict(enumerate(found)) if isinstance(found, list) else found) != names:
+    if found not in ({0: class_name}, {"0": class_name}, [class_name]):
         raise checks.DatasetError(f"yaml_names: {found}")
-    if value.get("download"):
+    if "download" in value:
         raise checks.DatasetError("yaml_download")
     for split in ("train", "val", "test"):
         path = value.get(split)
-        if path is not None and (not isinstance(path, str) or os.path.isabs(path) or ".." in path.split("/")):
-            raise checks.DatasetError(f"yaml_split_path: {path}")
+        if path is not None and path != f"images/{split}" or path is None and split in needed:
+            raise checks.DatasetError(f"yaml_split_path: {split}: {path}")
 
 
 def copy_listed(spark: SparkSession, root: str, report: DataFrame, target: str) -> int:
-    """Copy the files that report (path, sha256, bytes) lists, and no other, verify them, and write a sorted manifest."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = "file:" + os.path.realpath(root).rstrip("/") + "/"
-    found = files.select(F.regexp_replace("path", f"^{base}".replace(".", r"\."), "").alias("path"), "content")
-    kept = pairing.allowed(found, report.select("path"), "path")
-    digests = kept.select("path", F.sha2("content", 256).alias("sha256"))
-    empty = report.filter("bytes = 0").select("path")  # Spark's sources skip files of no length
-    gone = report.join(digests.select("path").unionByName(empty), "path", "left_anti")
-    changed = pairing.changed(report, digests)
-    checks.raise_if_any(checks.offences(gone, "missing_file", F.col("path")), checks.offences(changed, "source_changed", F.col("path")))
-
-    def write(rows) -> None:
-        for r in rows:
+    """Copy the files that report (path, sha256, bytes) lists, and no other, verify them, and write a sorted manifest.
+
+    All are verified before the first is copied, and each copy again; a path that leaves the folder is an error.
+    """
+    whole = F.concat(F.lit(os.path.realpath(root).rstrip("/") + "/"), F.col("path"))
+    rows = report.select("path", "sha256", whole.alias("source"))
+    bad = rows.withColumn("fault", archive.path_fault(F.col("path"))).filter("fault is not null")
+    checks.raise_if_any(checks.offences(bad, "unsafe_path", F.col("path"), F.col("fault")))
+    found = with_column(rows, "source", "found", lambda p: sha256(p) if os.path.isfile(p) and not os.path.islink(p) else None)
+    wrong = found.filter("found is null or found <> sha256")
+    checks.raise_if_any(checks.offences(wrong, F.when(F.col("found").isNull(), "missing_file").otherwise("source_changed"), F.col("path")))
+
+    def write(part) -> None:
+        for r in part:
             out = os.path.join(target, r.path)
             os.makedirs(os.path.dirname(out), exist_ok=True)
-            put(out, bytes(r.content or b""))
-
-    kept.unionByName(empty.withColumn("content", F.lit(b""))).foreachPartition(write)
+            temp = f"{out}.{uuid.uuid4().hex}.tmp"
+            shutil.copyfile(r.source, temp)
+            if sha256(temp) != r.sha256:
+                raise checks.DatasetError(f"source_changed: {r.path}")
+            os.replace(temp, out)
+
+    os.makedirs(target, exist_ok=True)
+    rows.foreachPartition(write)
     listed = [r.asDict() for r in report.select("path", "sha256", "bytes").orderBy("path").toLocalIterator()]
     write_json(os.path.join(target, "manifest.json"), {"files": listed})
     return len(listed)
 
 
+def listed_members(path: str):
+    """path, n, name, kind and size of a tar.gz's members, up to the first beyond a limit; contents are skipped."""
+    total = 0
+    with tarfile.open(path, mode="r:gz") as tar:
+        for n, m in enumerate(tar):
+            kind = "file" if m.isreg() else "dir" if m.isdir() else "link" if m.issym() or m.islnk() else "other"
+            total += m.size
+            yield path, n, m.name, kind, m.size
+            if n >= archive.MOST_MEMBERS or total > archive.MOST_BYTES:
+                return
+
+
 def extract(spark: SparkSession, path: str, target: str) -> int:
     """Extract a tar.gz into a new folder, after all members passed the guards; nothing is left on an error."""
     if os.path.lexists(target):
         raise checks.DatasetError(f"output_exists: {target}")
-    members = archive.read_members(spark.read.format("binaryFile").load(path))
+    members = spark.createDataFrame(list(listed_members(path)), "path string, n long, name string, kind string, size long")
     bad = archive.guarded(members, "path", "n").filter("fault is not null")
     over = archive.totals(members, "path").filter("beyond_limits")
     checks.raise_if_any(checks.offences(bad, F.concat(F.lit("archive_"), "fault"), F.col("name")), checks.offences(over, "archive_limits", F.col("path")))
@@ -77,14 +95,15 @@ def extract(spark: SparkSession, path: str, target: str) -> int:
     n = 0
     try:
         os.makedirs(stage)
-        with open(path, "rb") as f, tarfile.open(fileobj=io.BytesIO(f.read()), mode="r:gz") as tar:
+        with tarfile.open(path, mode="r:gz") as tar:
             for m in tar:
                 out = os.path.join(stage, m.name)
                 if m.isdir():
                     os.makedirs(out, exist_ok=True)
                 else:
                     os.makedirs(os.path.dirname(out), exist_ok=True)
-                    put(out, tar.extractfile(m).read())
+                    with open(out, "wb") as f:
+                        shutil.copyfileobj(tar.extractfile(m), f)
                     n += 1
         os.rename(stage, target)
     except BaseException:
