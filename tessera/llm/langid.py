@@ -1,13 +1,14 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Characters are mapped to an alphabet learned from the sample (letters, case folded; all else is a word boundary);
-features are its 1- to 3-grams found in enough documents. Weights are trained with follow-the-regularised-leader
+Characters are mapped to an alphabet learned from the sample (the ALPHABET most frequent letters, case folded; other
+letters by their rows of 256 code points, which keeps large scripts apart; all else is a word boundary); features are its 1- to 3-grams found in enough documents. Weights are trained with follow-the-regularised-leader
 (proximal, per coordinate) under an elastic net, whose L1 part sets most of them to zero; then one temperature is
 fitted on rows kept out of training, so that scores are probabilities. The model is fitted on the driver from a
 sample bounded by PER_LABEL, TOTAL and MAX_CHARS; predictions read every whole text.
 
 Defined results: a null text, an empty one and one without a letter are `und` with score 0; without any training row
-every text is `und`; repeated rows are predicted alike and all returned; other columns are ignored.
+every text is `und`; repeated rows are predicted alike and all returned; other columns are ignored. Bounds of the model:
+ALPHABET letters, FEATURES n-grams, and the labels of common.MOST_LABELS; they bound what is learned, not what is read.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ PER_LABEL, TOTAL, MAX_CHARS = 1000, 6000, 8000
 ALPHABET, FEATURES, MIN_DOCS, EPOCHS = 200, 16_000, 5, 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.02
 UNKNOWN = "und"
-OTHER = 255  # a letter outside the alphabet
+OTHERS = 255 - ALPHABET - 1  # symbols for letters outside the alphabet, by their code points
 
 
 def letters() -> np.ndarray:
@@ -62,7 +63,7 @@ class Model:
         if not self._table:
             if not _LETTERS:
                 _LETTERS.append(letters())
-            chars = np.where(_LETTERS[0], OTHER, 0).astype(np.uint8)
+            chars = np.where(_LETTERS[0], ALPHABET + 1 + (np.arange(len(_LETTERS[0])) >> 8) % OTHERS, 0).astype(np.uint8)
             for i, c in enumerate(self.alphabet, 1):
                 for x in {c, c.upper(), c.lower()}:
                     if len(x) == 1:
@@ -179,7 +180,6 @@ def fit_on(docs: DataFrame, may_learn: Column) -> Model:
     return fit([(r.text, r.lang) for r in got])
 
 
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every row of docs."""
     small_batches(docs.sparkSession)
@@ -195,10 +195,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of docs, with all their columns, whose text has a language with at least this score.
+    """The rows of docs, with all their columns, whose text has a language with at least this score above chance.
 
-    Where no language could be learned, those whose text has a letter.
+    A score s among n languages counts as (s - 1/n) / (1 - 1/n), so that least means the same however many there are; one
+    language alone is always likely. Where no language could be learned, the rows whose text has a letter stay.
     """
+    chance = 1 / max(1, len(model.labels))
+    bound = chance + least * (1 - chance)
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -207,7 +210,7 @@ def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
         for b in batches:
             ts = b.column("text").to_pylist()
             if own.labels:
-                kept = [x != UNKNOWN and s >= least for x, s in map(own.predict, ts)]
+                kept = [x != UNKNOWN and s >= bound for x, s in map(own.predict, ts)]
             else:
                 kept = [any(map(str.isalpha, t or "")) for t in ts]
             yield b.filter(pa.array(kept, pa.bool_()))

@@ -66,16 +66,19 @@ def simhash(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return majority(hashes(text, width))
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and its fingerprint as a signed 64-bit integer fp."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, with_digest: bool = False) -> DataFrame:
+    """doc_id and its fingerprint as a signed 64-bit integer fp; if asked for, the digest of the text."""
     small_batches(docs.sparkSession)
+    names = ["doc_id", "fp"] + ["digest"] * with_digest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([simhash(t, width) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp), *([b.column("digest")] * with_digest)], names)
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    rows = texts(docs)
+    rows = rows.withColumn("digest", digest(F.col("text"))) if with_digest else rows
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", digest string" * with_digest)
 
 
 class BKTree:
@@ -251,12 +254,21 @@ def linked(rows: DataFrame, nodes: DataFrame, edges_comp: DataFrame, key: str) -
     return spread_join(rows, by_key.select("_key", "comp", "component_id"), key, "_key", copied).drop("_key")
 
 
+def members(docs: DataFrame, radius: int, width: int, with_digest: bool = False) -> DataFrame:
+    """doc_id, fp, comp and component_id (and digest) of every row of docs."""
+    marked = settled(fingerprints(docs, width, with_digest))
+    reps = settled(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    return linked(marked, reps, components(shard_edges(reps.select("fp"), radius)), "fp")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row of docs."""
-    marked = settled(fingerprints(docs, width))
-    reps = settled(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")))
-    found = linked(marked, reps, components(shard_edges(reps.select("fp"), radius)), "fp")
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return members(docs, radius, width).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of docs that stand for their component."""
+    return chosen(docs, settled(members(docs, radius, width, True)).select("doc_id", "digest", "comp"))
 
 
 def digest(text: Column) -> Column:

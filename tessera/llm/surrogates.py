@@ -64,8 +64,8 @@ _CHINESE = rf"[{SURNAMES}]\p{{IsHan}}{{0,2}}?(?:{'|'.join(AFTER)})"
 PATTERNS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b(?<=\d[A-Z0-9 ]{0,9})"),
-    ("born", rf"(?<![\d/.-])(?=\d)(?<=(?i:born|birth|birthday|dob|d\.o\.b\.|née? le|geboren|geburtsdatum|naissance|nacido|nacida|nacimiento)[^\n\d]{{1,16}}){_DATE}(?![\d/-])"),
-    ("passport", r"(?<![\w-])(?=[A-Z0-9])(?<=(?i:passport|passeport|pasaporte|reisepass)[^\n\d]{1,16})[A-Z]{0,2}\d{6,9}(?!\w)"),
+    ("born", rf"(?<![\d/.-])(?=\d{{1,4}}[-/.]\d)(?<=(?i:born|birth|birthday|dob|d\.o\.b\.|née? le|geboren|geburtsdatum|naissance|nacido|nacida|nacimiento)[^\n\d]{{1,16}}){_DATE}(?![\d/-])"),
+    ("passport", r"(?<![\w-])(?=[A-Z]{0,2}\d{6})(?<=(?i:passport|passeport|pasaporte|reisepass)[^\n\d]{1,16})[A-Z]{0,2}\d{6,9}(?!\w)"),
     ("ip", rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"),
     ("ip6", rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[0-9A-Fa-f:]*\d)(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![\w:])"),
     ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\w+])\+(?=(?:[ ().-]{0,2}\d){8,15}(?!\d))\d{1,3}(?:[ .-]{0,2}\(?\d{1,4}\)?){2,7}(?!\d)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])|(?<![\w.+-])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![\w-])"),
@@ -77,11 +77,13 @@ PATTERNS = (
     ("person", _FIRST),
     ("chinese", _CHINESE),
 )
-PATTERN = "|".join(f"(?:{p})" for _, p in PATTERNS)
+#: All patterns as one. What an entity begins with is tested first, as most places of a text begin none.
+_BY_FIRST = (("", ("email",)), (r"(?=[0-9A-Z+(])", ("iban", "born", "passport", "ip", "phone", "card", "ssn", "street")), (r"(?=[0-9A-Fa-f])", ("ip6", "secret")), (r"(?=[Ags])", ("key",)), (r"(?=\p{Lu})", ("person",)))
+PATTERN = r"(?<![0-9A-Za-z])(?=[0-9A-Za-z+(._%-]|\p{Lu})(?:" + "|".join(f"{gate}(?:{'|'.join(f'(?:{p})' for k, p in PATTERNS if k in kinds)})" for gate, kinds in _BY_FIRST) + f")|(?:{_CHINESE})"
 #: Patterns of entities that are found by what stands before them, without that.
 BARE = {"born": _DATE, "passport": r"[A-Z]{0,2}\d{6,9}"}
 #: What every entity has; most texts have none of it and need no further look.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLES})\.? ?[\p{{Lu}}\p{{IsHan}}]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_GIVEN}) \p{{Lu}}|{'|'.join(AFTER)}"
+HINT = rf"[0-9@]|(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLES})\.? ?[\p{{Lu}}\p{{IsHan}}]|(?:{_GIVEN}) \p{{Lu}})|[{''.join(k[-1] for k in AFTER)}](?<={'|'.join(AFTER)})"
 #: Between the role and the word of a name in a list of entities. Roles: family (n) or given (m, f), Chinese names (hm, hf).
 PART = "\x1f"
 
@@ -140,7 +142,7 @@ def digits(text: Column, key: str, salt: Column) -> Column:
     def split(s: Column) -> Column:
         n_a = F.floor((F.length(s["d"]) + 1) / 2).cast("int")
         n_b = F.length(s["d"]) - n_a
-        left, right = F.substring(s["d"], F.lit(1), n_a).cast("bigint"), F.coalesce(F.try_to_number(F.nullif(F.substring(s["d"], n_a + 1, n_b), F.lit("")), F.lit("9" * 18)).cast("bigint"), F.lit(0).cast("bigint"))
+        left, right = F.substring(s["d"], F.lit(1), n_a).cast("bigint"), F.coalesce(F.nullif(F.substring(s["d"], n_a + 1, n_b), F.lit("")).cast("bigint"), F.lit(0).cast("bigint"))
         joined = lambda p: F.concat(F.lpad(p["a"].cast("string"), n_a, "0"), F.when(n_b > 0, F.lpad(p["b"].cast("string"), n_b, "0")).otherwise(F.lit("")))
         return let(permuted(left, right, power(n_a), power(n_b), key, F.concat_ws(":", salt, F.length(s["d"]))), joined)
 

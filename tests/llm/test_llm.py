@@ -16,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessera.llm import iblt, langid, mil, mixing, pfor, queries, rules, simhash, spbpe, surrogates, zdict
+from tessera.llm import iblt, jaccard, langid, mil, mixing, pfor, queries, rules, simhash, spbpe, surrogates, zdict
 
 SF = "/root/testdata/sf0.001"
 LONG = "word " * 20_000 + "x" * 50_000
@@ -50,7 +50,7 @@ def by_id(df):
 UNITS = re.compile(rf"(?:[^ \t\n\x0b\f\r]{{1,{iblt.PIECE_CHARS}}}+[ \t\x0b\f\r]*+){{1,{iblt.PIECE_WORDS}}}+")
 
 
-def jaccard(a, b):
+def likeness(a, b):
     a, b = set(UNITS.findall(a)), set(UNITS.findall(b))
     return len(a & b) / len(a | b) if a | b else 1.0
 
@@ -61,7 +61,7 @@ def edits(rows):
     for i, (d, t) in enumerate(rows):
         t, n = t or "", rows[(i + 1) % len(rows)][1] or ""
         e = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
-        yield d, (len(t), hashlib.sha256(e.encode()).hexdigest(), jaccard(t, e), jaccard(t, n))
+        yield d, (len(t), hashlib.sha256(e.encode()).hexdigest(), likeness(t, e), likeness(t, n))
 
 
 def test_op1_equals_brute_force(spark, docs):
@@ -208,6 +208,127 @@ def test_classifiers_edges(spark, edge, empty):
         assert all(r.lang_pred == "und" for r in got if r.doc_id in (1, 2, 3, 8))
 
 
+def test_op7_training_equals_a_plain_version():
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(60):
+        at = np.sort(rng.choice(12, 4, replace=False))
+        rows.append(((at, rng.random(4)), int(at[0] % 3)))
+    weights, bias = langid.ftrl(rows, 12, 3)
+    # one weight at a time, from the definition of the proximal step
+    z, n = {}, {}
+    at = lambda d, k: d.get(k, 0.0)
+
+    def weight(k):
+        if abs(at(z, k)) <= langid.L1:
+            return 0.0
+        return -(at(z, k) - math.copysign(langid.L1, at(z, k))) / ((langid.BETA + math.sqrt(at(n, k))) / langid.ALPHA + langid.L2)
+
+    for _ in range(langid.EPOCHS):
+        for (idx, x), y in rows:
+            pairs = [(int(i), float(v)) for i, v in zip(idx, x)] + [(12, 1.0)]
+            scores = [sum(v * weight((i, c)) for i, v in pairs) for c in range(3)]
+            e = [math.exp(s - max(scores)) for s in scores]
+            step = {}
+            for c in range(3):
+                miss = e[c] / sum(e) - (c == y)
+                for i, v in pairs:
+                    g, k = v * miss, (i, c)
+                    sigma = (math.sqrt(at(n, k) + g * g) - math.sqrt(at(n, k))) / langid.ALPHA
+                    step[k] = g - sigma * weight(k), g * g
+            for k, (dz, dn) in step.items():
+                z[k], n[k] = at(z, k) + dz, at(n, k) + dn
+    for i in range(13):
+        for c in range(3):
+            assert abs((weights[i][c] if i < 12 else bias[c]) - weight((i, c))) < 1e-9
+    assert any(weight((i, c)) == 0 for i in range(12) for c in range(3))
+
+
+def test_op6_step_follows_the_gradient_of_the_noisy_or():
+    model = mil.Model({"bad": 7.0, "worse": 9.0, "mild": 2.0}, mil.BIAS)
+    text = "A bad thing. The mild sun!\nWorse and bad. Nothing here"
+    sentence = lambda s: 1 / (1 + math.exp(-(mil.BIAS + sum({"bad": 7.0, "worse": 9.0, "mild": 2.0}.get(w, 0) for w in set(s.lower().split())))))
+    p = [sentence("a bad thing"), sentence("the mild sun"), sentence("worse and bad"), sentence("nothing here")]
+    clear = [x for x in p if math.log(x / (1 - x)) >= mil.CLEAR]
+    faint = max(x for x in p if x not in clear)
+    none = math.prod(1 - x for x in clear) * (1 - faint)
+    assert abs(model.clean(text) - math.log(none)) < 1e-9
+    # the gradient that fit() climbs, against differences of the likelihood
+    words = [["bad"], ["mild"], ["bad", "worse"]]
+
+    def likelihood(w, y):
+        p = [1 / (1 + math.exp(-(mil.BIAS + sum(w[x] for x in s)))) for s in words]
+        any_ = 1 - math.prod(1 - x for x in p)
+        return math.log(any_) if y else math.log(1 - any_)
+
+    w = {"bad": 4.0, "worse": 5.0, "mild": 1.0}
+    for y in (0, 1):
+        p = [1 / (1 + math.exp(-(mil.BIAS + sum(w[x] for x in s)))) for s in words]
+        none = math.prod(1 - x for x in p)
+        pull = none / (1 - none) if y else -1.0
+        for k in w:
+            near = (likelihood({**w, k: w[k] + 1e-6}, y) - likelihood({**w, k: w[k] - 1e-6}, y)) / 2e-6
+            assert abs(near - sum(pull * q for q, s in zip(p, words) if k in s)) < 1e-6
+
+
+def test_op3_sizes_equal_plain_compression():
+    import zstandard
+
+    rng = random.Random(4)
+    good = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(200)) for _ in range(60)]
+    bad = [" ".join(rng.choice(["click", "win", "now", "free$$"]) for _ in range(200)) for _ in range(60)]
+    model = zdict.fit([(t, 1) for t in good] + [(t, 0) for t in bad])
+    for text in (good[0], bad[0], "é" * 5000, "x"):
+        raw = text.encode()
+        parts = [raw[k : k + zdict.WINDOW] for k in range(0, len(raw), zdict.WINDOW)]
+        size = {}
+        for name, d in (("good", model.good), ("bad", model.bad)):
+            make = zstandard.ZstdCompressor(level=zdict.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False)
+            size[name] = sum(len(make.compress(x)) for x in parts)
+        n, g, b, _ = model.sizes(text)
+        assert (n, g, b) == (len(raw), size["good"], size["bad"])
+        assert abs(model.inputs(text)[0] - (size["bad"] - size["good"]) / (len(raw) + 8)) < 1e-12
+    assert min(model.score(t) for t in good) > 0.5 > max(model.score(t) for t in bad)
+    assert model.inputs("") == (0.0, 0.0)
+
+
+def test_op7_large_scripts_are_told_apart():
+    han, hangul = "的一是不了在人有我他这中大来上个国", "가나다라마바사아자차카타파하고노도로모"
+    rng = random.Random(2)
+    word = lambda s: "".join(rng.choice(s) for _ in range(3))
+    rows = [(" ".join(word(han) for _ in range(20)), "zh") for _ in range(40)] + [(" ".join(word(hangul) for _ in range(20)), "ko") for _ in range(40)]
+    rows += [(" ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(20)), "en") for _ in range(40)]
+    rng.shuffle(rows)
+    model = langid.fit(rows)
+    unseen = "".join(chr(0x5000 + k) for k in range(60)), "".join(chr(0xB000 + k) for k in range(60))
+    assert [model.predict(t)[0] for t in unseen] == ["zh", "ko"]
+
+
+def test_pipeline_language_bound_is_above_chance(spark):
+    labels = [f"l{k}" for k in range(4)]
+    model = langid.Model(labels, "ab", np.array([1]), np.ones(1), np.array([[0.0, 0.0, 0.0, math.log(2.0)]]), np.zeros(4))
+    df = spark.createDataFrame([(1, "a"), (2, "!")], "doc_id long, text string")  # the likeliest has 0.4, 0.2 above chance
+    assert [r.doc_id for r in langid.keep(df, model, 0.19).collect()] == [1] and langid.keep(df, model, 0.21).count() == 0
+
+
+def test_op9_is_linear_on_unbroken_runs():
+    import time
+
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    codec, own = spbpe.codec(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(1)
+    took = []
+    for n in (50_000, 400_000):
+        text = "".join(rng.choice("etaoinshrdlu") for _ in range(n))
+        start = time.process_time()
+        ids, _ = codec.encode(text)
+        took.append(time.process_time() - start)
+    assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_bos=True, add_eos=True)
+    assert took[1] < 24 * took[0] + 1
+
+
 # -- 4 -----------------------------------------------------------------------------------------------------------
 
 
@@ -485,6 +606,68 @@ def test_op10_large_groups(spark, big):
     assert got == want
 
 
+def test_op10_trees_follow_and_prune_edges():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    near = base[rng.integers(0, 300, 300)] ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64))
+    fps = np.unique(np.concatenate([base, near, (base >> np.uint64(16)) << np.uint64(16)]))
+    for leaf in (1, 4, simhash.LEAF):
+        tree = simhash.BKTree(fps, leaf)
+        found = {(i, j) for a, b in tree.links(np.arange(len(fps)), 3) for i, j in zip(a.tolist(), b.tolist())}
+        want = set(zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3))))
+        assert found == want and tree.followed > 0 and tree.pruned > 0
+        if leaf == 1:  # an edge is followed if the query's distance to the pivot is within 3 of the edge's
+            def walk(node, q):
+                if not isinstance(node, tuple):
+                    return 0, 0
+                pivot, keys, children = node
+                d = int(fps[q] ^ fps[pivot]).bit_count()
+                took = [abs(d - int(k)) <= 3 for k in keys]
+                below = [walk(c, q) for c, t in zip(children, took) if t]
+                return sum(took) + sum(f for f, _ in below), len(took) - sum(took) + sum(p for _, p in below)
+
+            counts = [walk(tree.root, q) for q in range(len(fps))]
+            assert (tree.followed, tree.pruned) == (sum(f for f, _ in counts), sum(p for _, p in counts))
+
+
+def test_op10_shards_build_nodes(spark):
+    rng = np.random.default_rng(9)
+    fps = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    fps = np.unique(np.concatenate([fps, fps[:800] ^ np.uint64(0b101 << 20)]))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    for shard in (8, 512, 100_000):
+        comp = {r.node: r.comp for r in simhash.components(simhash.shard_edges(df, 3, shard=shard)).collect()}
+        assert len(comp) == 1600 and len(set(comp.values())) == 800
+    assert any(isinstance(simhash.BKTree(part).root, tuple) for part in np.split(fps, 8))
+
+
+def test_op10_hot_keys_are_spread(spark, monkeypatch):
+    rows = [(i, "one text that many rows share with each other") for i in range(300)] + [(300 + i, f"text {i} with its own words w{i} x{i} y{i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, simhash.near_duplicates(df).collect()))
+    monkeypatch.setattr(simhash, "HOT", 5)
+    assert simhash.hot_keys(df.groupBy("text").agg(F.count("doc_id").alias("n")), "text", 400) == [rows[0][1]]
+    assert sorted(map(tuple, simhash.near_duplicates(df).collect())) == want
+    star = spark.createDataFrame([(k, 0) for k in range(1, 40)] + [(50, 51), (51, 52)], "a long, b long")
+    assert {r.node: r.comp for r in simhash.components(star).collect()} == {**{k: 0 for k in range(40)}, 50: 50, 51: 50, 52: 50}
+
+
+def test_one_of_each_is_exact_for_repeated_and_missing_ids(spark):
+    a, b = "the first text of some words that stands alone here", "quite another text with nothing in common at all now"
+    rows = [(5, a, "x"), (5, b, "x"), (3, b, "y"), (None, a, "z"), (None, "a third text which has no id whatever but words", "z"), (None, "a third text which has no id whatever but words", "y"), (7, None, "q"), (8, "", "q"), (5, a, "x"), (9, b, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shuffled in (df, df.orderBy("source", F.desc("doc_id")), df.repartition(3)):
+        for got in (jaccard.one_of_each(shuffled), simhash.one_of_each(shuffled)):
+            assert sorted(map(tuple, got.collect()), key=str) == sorted([(5, a, "x"), (3, b, "y"), (7, None, "q"), (None, rows[4][1], min("yz", key=lambda s: hashlib.sha256(f'{{"text":"{rows[4][1]}","source":"{s}"}}'.encode()).hexdigest()))], key=str)
+
+
+def test_wide_radius_misses_few():
+    p = math.acos(0.8 * 1.8 / 2 / 0.9) / math.pi  # of a bit of two sets of n * 0.9 that share n * 0.8
+    p = max(p, math.acos(0.8 / 0.9) / math.pi)
+    beyond = sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(jaccard.RADIUS + 1, 65))
+    assert beyond < 1e-6
+
+
 # -- pipeline ----------------------------------------------------------------------------------------------------
 
 
@@ -499,9 +682,15 @@ def test_pipeline_stages(spark, docs, edge, empty):
             assert got.columns == docs.columns
         now = got
     lang, near, pii, mixed, ids = seen
-    fps = {r.doc_id: fingerprint(r.text) for r in lang.collect()}
-    order = sorted(fps)
-    label = linked([fps[d] for d in order])
+    texts = {r.doc_id: r.text for r in lang.collect()}
+    order = sorted(texts)
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((texts[d] or "").encode().lower().split() for d in order)]
+    label = list(range(len(order)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if y == old else y for y in label]
     assert sorted(r.doc_id for r in near.collect()) == sorted({order[k] for k in label})
     assert pii.count() == near.count() and {r.doc_id for r in mixed.collect()} == {r.doc_id for r in pii.collect()}
     assert sorted(map(str, ids.collect())) == sorted(map(str, spbpe.encode_documents(mixed, public_tokenizers.path("piece_bpe_32k.model")).collect()))
