@@ -1,7 +1,7 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Characters are mapped to an alphabet learned from the sample (the ALPHABET most frequent letters, case folded; other
-letters by their rows of 256 code points, which keeps large scripts apart; all else is a word boundary); features are its 1- to 3-grams found in enough documents. Weights are trained with follow-the-regularised-leader
+letters by their blocks of code points, which keeps scripts apart; all else is a word boundary); features are its 1- to 3-grams found in enough documents. Weights are trained with follow-the-regularised-leader
 (proximal, per coordinate) under an elastic net, whose L1 part sets most of them to zero; then one temperature is
 fitted on rows kept out of training, so that scores are probabilities. The model is fitted on the driver from a
 sample bounded by PER_LABEL, TOTAL and MAX_CHARS; predictions read every whole text.
@@ -29,7 +29,6 @@ PER_LABEL, TOTAL, MAX_CHARS = 1000, 6000, 8000
 ALPHABET, FEATURES, MIN_DOCS, EPOCHS = 200, 16_000, 5, 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.02
 UNKNOWN = "und"
-OTHERS = 255 - ALPHABET - 1  # symbols for letters outside the alphabet, by their code points
 
 
 def letters() -> np.ndarray:
@@ -63,7 +62,10 @@ class Model:
         if not self._table:
             if not _LETTERS:
                 _LETTERS.append(letters())
-            chars = np.where(_LETTERS[0], ALPHABET + 1 + (np.arange(len(_LETTERS[0])) >> 8) % OTHERS, 0).astype(np.uint8)
+            # letters outside the alphabet: blocks of 128 up to 4096, of 4096 beyond
+            points = np.arange(len(_LETTERS[0]))
+            others = np.where(points < 4096, points >> 7, 32 + np.minimum(points >> 12, 253 - ALPHABET - 32))
+            chars = np.where(_LETTERS[0], ALPHABET + 1 + others, 0).astype(np.uint8)
             for i, c in enumerate(self.alphabet, 1):
                 for x in {c, c.upper(), c.lower()}:
                     if len(x) == 1:

@@ -213,7 +213,7 @@ def test_op7_training_equals_a_plain_version():
     rows = []
     for _ in range(60):
         at = np.sort(rng.choice(12, 4, replace=False))
-        rows.append(((at, rng.random(4)), int(at[0] % 3)))
+        rows.append(((at, rng.random(4) * np.where(at == 11, 1e-3, 1.0)), int(at[0] % 3)))
     weights, bias = langid.ftrl(rows, 12, 3)
     # one weight at a time, from the definition of the proximal step
     z, n = {}, {}
@@ -293,15 +293,13 @@ def test_op3_sizes_equal_plain_compression():
 
 
 def test_op7_large_scripts_are_told_apart():
-    han, hangul = "的一是不了在人有我他这中大来上个国", "가나다라마바사아자차카타파하고노도로모"
     rng = random.Random(2)
-    word = lambda s: "".join(rng.choice(s) for _ in range(3))
-    rows = [(" ".join(word(han) for _ in range(20)), "zh") for _ in range(40)] + [(" ".join(word(hangul) for _ in range(20)), "ko") for _ in range(40)]
-    rows += [(" ".join(word("abcdefghijklmnopqrstuvwxyz") for _ in range(20)), "en") for _ in range(40)]
+    word = lambda low, high: "".join(chr(rng.randrange(low, high)) for _ in range(3))
+    kinds = {"zh": (0x4E00, 0x9FA0), "ko": (0xAC00, 0xD7A0), "en": (0x61, 0x7B)}
+    rows = [(" ".join(word(*r) for _ in range(20)), y) for y, r in kinds.items() for _ in range(60)]
     rng.shuffle(rows)
-    model = langid.fit(rows)
-    unseen = "".join(chr(0x5000 + k) for k in range(60)), "".join(chr(0xB000 + k) for k in range(60))
-    assert [model.predict(t)[0] for t in unseen] == ["zh", "ko"]
+    model = langid.fit(rows)  # most letters are beyond the alphabet
+    assert all(model.predict(" ".join(word(*r) for _ in range(20)))[0] == y for y, r in kinds.items() for _ in range(20))
 
 
 def test_pipeline_language_bound_is_above_chance(spark):
@@ -662,10 +660,9 @@ def test_one_of_each_is_exact_for_repeated_and_missing_ids(spark):
 
 
 def test_wide_radius_misses_few():
-    p = math.acos(0.8 * 1.8 / 2 / 0.9) / math.pi  # of a bit of two sets of n * 0.9 that share n * 0.8
-    p = max(p, math.acos(0.8 / 0.9) / math.pi)
+    p = math.acos(8 / 9) / math.pi  # of a bit: equal sets at a Jaccard similarity of 0.8 share 8/9 of each
     beyond = sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(jaccard.RADIUS + 1, 65))
-    assert beyond < 1e-6
+    assert beyond < 1e-8
 
 
 # -- pipeline ----------------------------------------------------------------------------------------------------
