@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,8 @@ from tessera.sources.shared import shared_dir
 
 #: Rows that go to a Python worker at once; bounds the memory of a batch of long texts.
 BATCH_ROWS = 512
+#: Characters of texts that are encoded together.
+TOGETHER = 1 << 23
 #: Ids of a label that are ranked, as a multiple of those wanted, and labels that can be learned.
 SLACK, MOST_LABELS = 4, 1000
 
@@ -46,6 +52,48 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(0))
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """doc_ids and texts of consecutive batches, of TOGETHER characters or little more."""
+    doc_ids: list[pa.Array] = []
+    held: list[str] = []
+    size = 0
+    for b in batches:
+        doc_ids.append(b.column("doc_id"))
+        new = [t or "" for t in b.column("text").to_pylist()]
+        held += new
+        size += sum(map(len, new))
+        if size >= TOGETHER:
+            yield pa.concat_arrays(doc_ids), held
+            doc_ids, held, size = [], [], 0
+    if held:
+        yield pa.concat_arrays(doc_ids), held
+
+
+def told_apart(texts_: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of texts cut at each space, which of them each word is, and where each text's words begin.
+
+    Arrow cuts and compares, so Python sees each distinct word of a batch once.
+    """
+    cut = pc.split_pattern(texts_, " ")
+    words = cut.values.dictionary_encode()
+    # distinct words have no spaces: put one after each and split, which is the quick way to Python's strings
+    spaced = pc.binary_join_element_wise(words.dictionary, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
+    return spaced.buffers()[2].to_pybytes().decode().split(" ")[: len(spaced)], words.indices.to_numpy(), cut.offsets.to_numpy()
+
+
+def gathered(runs: list[bytes], width: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs (of values of width bytes) in the order of which, as bytes rows, and the size of each."""
+    size = np.fromiter(map(len, runs), np.int64, len(runs)) // width
+    start = np.cumsum(size) - size
+    n = size[which]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, int(size.sum())) < 1 << 31 else np.int64
+    step = np.repeat((start[which] - (ends - n)).astype(kind), n)
+    step += np.arange(total, dtype=kind)
+    return np.frombuffer(b"".join(runs), {1: np.uint8, 4: np.dtype("<u4")}[width]).take(step), n
+
+
 def local_path(uri: str) -> str | None:
     """The path of a file: URI or plain path; None for other stores."""
     if uri.startswith("file:"):

@@ -37,11 +37,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import local_path, shared_dir, small_batches, texts
+from tessera.llm.common import local_path, shared_dir, small_batches, texts, together, told_apart
 
 MAGIC, BLOCK, PERCENTILE = b"PFR2", 1024, 0.98
-#: Ids that a task holds before their blocks are packed, and characters of texts that are encoded together.
-HOLD, TOGETHER = 1 << 20, 1 << 23
+#: Ids that a task holds before their blocks are packed.
+HOLD = 1 << 20
 #: Words whose ids a worker keeps; when the table is full, those of the batch at hand stay.
 KEEP = 1_000_000
 SHARDS_SCHEMA = "part int, path string, n_docs long, n_ids long, first long"
@@ -316,19 +316,15 @@ class Encoder:
                 strange[k] = b"".join([one[c] for c in chunks])
             plain.append("\n" if k in strange else "\n" + t.replace("\n", " \n"))
         marked = pc.replace_substring_regex(pa.array(plain, pa.large_string()), ENDS[0], ENDS[1])
-        cut = pc.split_pattern(marked, " ")
-        first = cut.offsets.to_numpy()
-        words = cut.values.dictionary_encode()
-        # distinct words have no spaces: put one after each and split, which is the quick way to Python's strings
-        spaced = pc.binary_join_element_wise(words.dictionary, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
-        known = self.of(spaced.buffers()[2].to_pybytes().decode().split(" ")[: len(spaced)])
+        distinct, which, first = told_apart(marked)
+        known = self.of(distinct)
         runs = [*known, *strange.values(), struct.pack("<I", end_id)]
         size = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         start = np.cumsum(size) - size
         if size.sum() < 1 << 31:
             size, start = size.astype(np.int32), start.astype(np.int32)
         # an entry a word, and one more after each text for the end id
-        which = np.insert(words.indices.to_numpy(), first[1:], len(runs) - 1)
+        which = np.insert(which, first[1:], len(runs) - 1)
         head = first[:-1] + np.arange(len(texts_))
         which[head[list(strange)]] = np.arange(len(known), len(known) + len(strange))
         n, at = size[which], start[which]
@@ -393,23 +389,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, shards:
     return sorted(dealt.mapInArrow(run, SHARDS_SCHEMA).collect(), key=lambda r: r.part)
 
 
-def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """doc_ids and texts of consecutive batches, of TOGETHER characters or little more."""
-    doc_ids: list[pa.Array] = []
-    held: list[str] = []
-    size = 0
-    for b in batches:
-        doc_ids.append(b.column("doc_id"))
-        new = [t or "" for t in b.column("text").to_pylist()]
-        held += new
-        size += sum(map(len, new))
-        if size >= TOGETHER:
-            yield pa.concat_arrays(doc_ids), held
-            doc_ids, held, size = [], [], 0
-    if held:
-        yield pa.concat_arrays(doc_ids), held
-
-
 def read(spark: SparkSession, shards: list) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files alone."""
     start, rows = 0, []

@@ -17,13 +17,15 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import small_batches, texts
+from tessera.llm.common import gathered, small_batches, texts, together, told_apart
 
 MARK = "▁"
 #: Chunks that a worker keeps; the table is emptied when full.
@@ -114,6 +116,26 @@ class Model:
         n = len(chunk)
         if n == 1:
             return [chunk]
+        out: list[str] = []
+        pos, last = 0, ""
+        fits, known = self.fits, self._fits.get
+        for end, size in self.automaton.iter_long(chunk):  # the longest match at each place, as a rule the encoding
+            while pos <= end - size:
+                out.append(chunk[pos])
+                pos += 1
+            out.append(chunk[pos : end + 1])
+            pos = end + 1
+        out += chunk[pos:]
+        for s in out:
+            ok = known((last, s))
+            if not (ok or ok is None and fits(last, s)):
+                return self._searched(chunk)
+            last = s
+        return out
+
+    def _searched(self, chunk: str) -> list[str]:
+        """The same by trying shorter matches where longer ones lead nowhere."""
+        n = len(chunk)
         at: list[list[int]] = [[1] for _ in range(n)]  # lengths that match at each place, ascending
         for end, size in self.automaton.iter(chunk):
             at[end - size + 1].append(size)
@@ -147,11 +169,14 @@ class Model:
 
     def ids_of(self, chunk: str) -> list[int]:
         """Ids of a chunk. Long ones (no spaces) go through the same search; their cost is linear but for backtracking."""
-        out = []
-        for s in self.symbols(chunk):
-            i = self.ids.get(s)
-            if i is not None:
-                out.append(i)
+        symbols, ids = self.symbols(chunk), self.ids
+        try:
+            return [ids[s] for s in symbols]
+        except KeyError:  # a character that is no piece
+            out = []
+        for s in symbols:
+            if s in ids:
+                out.append(ids[s])
             elif self.byte_ids:
                 out += [self.byte_ids[b] for b in s.encode()]
             else:
@@ -177,13 +202,13 @@ class Codec:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.model = Model(f.read())
-        self.marked: dict[str, tuple[bytes, bytes]] = {}  # by a word, with a space mark before it
+        self.kept: dict[str, tuple[bytes, bytes]] = {}  # by a word: with a space mark before it, or after a line feed
         self.bare: dict[str, tuple[bytes, bytes]] = {}  # by a chunk as it is
         self.pattern = CHUNKS if self.model.cuts_lines else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
     def _make(self, table: dict, key: str, chunk: str) -> tuple[bytes, bytes]:
         ids = self.model.ids_of(chunk)
-        got = struct.pack(f"<{len(ids)}I", *ids), self.model.decode_bytes(ids)
+        got = array("I", ids).tobytes(), self.model.decode_bytes(ids)
         if len(key) <= 64:
             if len(table) >= KEEP:
                 table.clear()
@@ -194,27 +219,53 @@ class Codec:
         return self.bare.get(c) or self._make(self.bare, c, c)
 
     def word(self, w: str) -> tuple[bytes, bytes]:
-        return self._make(self.marked, w, MARK + w)
+        """Of a word with a space mark before it, or one that begins with a line feed and has none."""
+        if w[:1] != "\n" or not self.model.cuts_lines:
+            return self._make(self.kept, w, MARK + w)
+        feed, rest = self.chunk("\n"), self.chunk(w[1:]) if len(w) > 1 else (b"", b"")
+        got = self.kept[w] = feed[0] + rest[0], feed[1] + rest[1]
+        return got
 
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        """Id bytes, and the UTF-8 of their decoding."""
+    def of(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """Id bytes and decoding of distinct words; when the table is full, those of the batch at hand stay."""
+        found = list(map(self.kept.get, words))
+        if len(self.kept) > KEEP:
+            self.kept = {w: x for w, x in zip(words, found) if x is not None}
+        return [x or self.word(w) for w, x in zip(words, found)]
+
+    def whole(self, text: str) -> tuple[bytes, bytes]:
+        """Of a text with any spaces, chunk by chunk."""
+        parts = list(map(self.chunk, self.pattern.findall(MARK + text.replace(" ", MARK))))
+        return b"".join([x for x, _ in parts]), b"".join([y for _, y in parts])
+
+    def batch(self, texts_: list[str]) -> list[tuple[bytes, bytes]]:
+        """For each text its id bytes, and the UTF-8 of their decoding. Single spaces each begin a chunk; a text with
+        others, or with marks of its own, is one word to all this."""
+        if not texts_:
+            return []
+        strange: dict[int, tuple[bytes, bytes]] = {}
+        plain: list[str] = []
+        for k, t in enumerate(texts_):
+            if not t:
+                strange[k] = b"", b""
+            elif "  " in t or t[0] == " " or MARK in t or not self.model.cuts_lines:
+                strange[k] = self.whole(t)
+            plain.append("" if k in strange else t.replace("\n", " \n"))
+        distinct, which, first = told_apart(pa.array(plain, pa.large_string()))
+        runs = [*self.of(distinct), *strange.values()]
+        which = which.copy()
+        which[first[list(strange)]] = np.arange(len(distinct), len(runs))
         begin, end = struct.pack("<I", self.model.begin), struct.pack("<I", self.model.end)
-        if not text:
-            return begin + end, b""
-        if "  " in text or text[0] == " " or MARK in text or not self.model.cuts_lines:
-            parts = list(map(self.chunk, self.pattern.findall(MARK + text.replace(" ", MARK))))
-        else:  # single spaces: each begins a chunk
-            get, make, parts = self.marked.get, self.word, []
-            for k, line in enumerate(text.split("\n")):
-                words = line.split(" ")
-                if k:
-                    parts.append(self.chunk("\n"))
-                    if first := words.pop(0):
-                        parts.append(self.chunk(first))
-                parts += [get(w) or make(w) for w in words]
-        ids, decoded = zip(*parts)
-        decoded = b"".join(decoded)
-        return b"".join((begin, *ids, end)), decoded[1:] if decoded[:1] == b" " else decoded
+        out = []
+        for width, k in ((4, 0), (1, 1)):
+            values, sizes = gathered([r[k] for r in runs], width, which)
+            data, stops = values.tobytes(), (np.add.reduceat(sizes, first[:-1]).cumsum() * width).tolist()
+            out.append([data[a:b] for a, b in zip([0, *stops], stops)])
+        return [(begin + x + end, y[1:] if y[:1] == b" " else y) for x, y in zip(*out)]
+
+    def encode(self, text: str) -> tuple[bytes, bytes]:
+        """The same of one text."""
+        return self.batch([text])[0]
 
 
 _CODECS: dict[str, Codec] = {}
@@ -234,10 +285,10 @@ def encode_documents(docs: DataFrame, path: str, with_text: bool = False) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         sha = hashlib.sha256
-        for b in batches:
-            rows = [own.encode(t or "") for t in b.column("text").to_pylist()]
+        for doc_ids, held in together(batches):
+            rows = own.batch(held)
             cols = [
-                b.column("doc_id"),
+                doc_ids,
                 pa.array([len(x) // 4 for x, _ in rows], pa.int64()),
                 pa.array([sha(x).hexdigest() for x, _ in rows], pa.string()),
                 pa.array([sha(y).hexdigest() for _, y in rows], pa.string()),
