@@ -53,3 +53,15 @@ def safe_identifier(name: Column) -> Column:
 def inside(child: Column, parent: Column) -> Column:
     """Whether a normalised path is parent or below it."""
     return (child == parent) | child.startswith(F.concat(parent, F.lit("/")))
+
+
+def html(text: Column) -> Column:
+    """Text as it may stand in a page or an attribute."""
+    for mark, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot"), ("'", "#x27")):
+        text = F.replace(text, F.lit(mark), F.lit(f"&{name};"))
+    return text
+
+
+def caption(split: Column, condition: Column, n_boxes: Column) -> Column:
+    """What stands under a preview."""
+    return html(F.concat_ws(" / ", split, condition, F.concat(n_boxes.cast("string"), F.lit(" boxes"))))

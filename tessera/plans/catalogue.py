@@ -427,3 +427,41 @@ def config_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT * FROM (VALUES ('not_positive', 'training.epochs', '0'), ('not_positive', 'training.batch', '-1'), ('not_multiple_of_32', 'training.imgsz', '641'), ('not_boolean', 'training.amp', 'maybe'), ('below_60', 'limits.max_seconds', '59'), ('negative', 'training.seed', 'x')) v(reason, key, detail)""")
 def settings_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.settings(spark.createDataFrame(list(SETTINGS), "key string, value string"))
+
+
+_JOBS = ("Completed", "Failed", "Stopped", "InProgress", "Stopping")
+
+
+@query(f"SELECT event_id, ({list(_JOBS)})[(event_id % 5 + 1)::INT] AS state, event_id % 5 < 3 AS terminal FROM events")
+def terminal_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = F.element_at(F.array(*map(F.lit, _JOBS)), (F.col("event_id") % 5 + 1).cast("int"))
+    return read(spark, sf_dir, "events").select("event_id", state.alias("state")).withColumn("terminal", checks.terminal(F.col("state")))
+
+
+@query("""WITH p AS (SELECT page_id, '/data/' || CASE page_id % 3 WHEN 0 THEN 'set/' || page_id WHEN 1 THEN 'set' ELSE 'setting/' || page_id END AS path FROM pages)
+SELECT page_id, path, path = '/data/set' OR starts_with(path, '/data/set/') AS inside FROM p""")
+def path_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, n = F.col("page_id") % 3, F.col("page_id").cast("string")
+    path = F.concat(F.lit("/data/"), F.when(i == 0, F.concat(F.lit("set/"), n)).when(i == 1, F.lit("set")).otherwise(F.concat(F.lit("setting/"), n)))
+    return read(spark, sf_dir, "pages").select("page_id", path.alias("path")).withColumn("inside", names.inside(F.col("path"), F.lit("/data/set")))
+
+
+@query(f"""{EIGHT}, l AS (SELECT DISTINCT vec_id, y, x, h, w FROM comp),
+t AS (SELECT vec_id, string_agg(printf('0 %.10f %.10f %.10f %.10f', (x + w / 2) / 8, (y + h / 2) / 8, w / 8, h / 8) || chr(10), '' ORDER BY y, x, h, w) AS label_text FROM l GROUP BY vec_id)
+SELECT e.vec_id, coalesce(label_text, '') AS label_text FROM embeddings e LEFT JOIN t USING (vec_id)""")
+def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text of each label file; a mask without objects has an empty one."""
+    rows = label_masks(masks(spark, sf_dir), Options())
+    text = F.concat(F.array_join(F.transform("boxes", lambda b: b["line"]), "\n"), F.when(F.size("boxes") > 0, "\n").otherwise(""))
+    return rows.select(F.col("mask_id").alias("vec_id"), text.alias("label_text"))
+
+
+@query("""SELECT doc_id, replace(replace(replace(replace(replace(source || ' / ' || lang || ' & "' || left(text, 40) || '" / ' || n_chars || ' boxes', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS caption FROM documents""")
+def preview_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    condition = F.concat(F.col("lang"), F.lit(' & "'), F.left(F.col("text"), F.lit(40)), F.lit('"'))
+    return read(spark, sf_dir, "documents").select("doc_id", names.caption(F.col("source"), condition, F.col("n_chars")).alias("caption"))
+
+
+@query(r"""SELECT page_id, '{"bytes": ' || strlen(html) || ', "path": "' || replace(replace(url, '\', '\\'), '"', '\"') || '", "sha256": "' || sha256(html) || '"}' AS entry FROM pages""")
+def file_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", digest.file_json(F.col("url"), digest.sha256(F.col("html")), F.octet_length("html")).alias("entry"))
