@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, with_digest: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([simhash(t, width) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp), *([b.column("digest")] * with_digest)], names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp), *map(b.column, names[2:])], names)
 
     rows = texts(docs)
     rows = rows.withColumn("digest", digest(F.col("text"))) if with_digest else rows

@@ -659,6 +659,20 @@ def test_one_of_each_is_exact_for_repeated_and_missing_ids(spark):
             assert sorted(map(tuple, got.collect()), key=str) == sorted([(5, a, "x"), (3, b, "y"), (7, None, "q"), (None, rows[4][1], min("yz", key=lambda s: hashlib.sha256(f'{{"text":"{rows[4][1]}","source":"{s}"}}'.encode()).hexdigest()))], key=str)
 
 
+def test_large_groups_of_candidates_are_confirmed_by_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(60):  # a chain: each differs little from the one before, much from the first
+        base[rng.randrange(120)] = f"x{k}"
+        rows.append((k, " ".join(base)))
+    df = spark.createDataFrame(rows + [(100, "alone " * 9)], "doc_id long, text string")
+    want = sorted(map(tuple, jaccard.near_duplicates(df).collect()))
+    monkeypatch.setattr(jaccard, "GROUP", 7)
+    assert sorted(map(tuple, jaccard.near_duplicates(df).collect())) == want
+    assert 2 <= len({c for _, c in want}) < 30
+
+
 def test_wide_radius_misses_few():
     p = math.acos(8 / 9) / math.pi  # of a bit: equal sets at a Jaccard similarity of 0.8 share 8/9 of each
     beyond = sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(jaccard.RADIUS + 1, 65))
