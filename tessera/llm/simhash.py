@@ -31,6 +31,8 @@ SHINGLE_WORDS, RADIUS, SEED = 3, 3, 42
 SHARD, LEAF = 512, 16
 #: A key is hot that more rows share than this and than a thousandth of all.
 HOT = 1000
+#: Rows of edges from which hot keys of components are looked for.
+MANY = 1_000_000
 #: Shingles whose bits are unpacked at once.
 CHUNK = 65536
 #: Members of a shard beyond which it is dealt again by further bits.
@@ -223,18 +225,23 @@ def spread_join(rows: DataFrame, small: DataFrame, key: str, other: str, hot: li
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and comp: the smallest node reachable over edges (a, b), for every node of an edge."""
+    """node and comp: the smallest node reachable over edges (a, b), for every node of an edge.
+
+    Hot keys are looked for only among more than MANY nodes; below that a hot key's rows are few enough for one task.
+    """
     both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    hubs = hot_keys(both.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b", both.count())
+    n = both.count()
+    many = n > MANY
+    hubs = hot_keys(both.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b", n) if many else []
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("comp")))
     while True:
         near = spread_join(both, labels, "b", "node", hubs).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m"))
         low = labels.join(near, "node").select("node", "comp", F.least("comp", "m").alias("low"))
         # pointer jump: a component's label is itself a node, whose own label may be smaller
         up = labels.select(F.col("node").alias("up"), F.col("comp").alias("jump"))
-        held = settled(low)
-        full = hot_keys(held.groupBy("low").agg(F.count(F.lit(1)).alias("n")), "low", held.count())
-        new = settled(spread_join(held, up, "low", "up", full).select("node", F.least("low", "jump").alias("comp"), (F.least("low", "jump") < F.col("comp")).alias("moved")))
+        low = settled(low) if many else low
+        full = hot_keys(low.groupBy("low").agg(F.count(F.lit(1)).alias("n")), "low", n) if many else []
+        new = settled(spread_join(low, up, "low", "up", full).select("node", F.least("low", "jump").alias("comp"), (F.least("low", "jump") < F.col("comp")).alias("moved")))
         labels = new.select("node", "comp")
         if not new.filter("moved").head(1):
             return labels

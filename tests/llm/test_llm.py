@@ -646,6 +646,7 @@ def test_op10_hot_keys_are_spread(spark, monkeypatch):
     monkeypatch.setattr(simhash, "HOT", 5)
     assert simhash.hot_keys(df.groupBy("text").agg(F.count("doc_id").alias("n")), "text", 400) == [rows[0][1]]
     assert sorted(map(tuple, simhash.near_duplicates(df).collect())) == want
+    monkeypatch.setattr(simhash, "MANY", 0)
     star = spark.createDataFrame([(k, 0) for k in range(1, 40)] + [(50, 51), (51, 52)], "a long, b long")
     assert {r.node: r.comp for r in simhash.components(star).collect()} == {**{k: 0 for k in range(40)}, 50: 50, 51: 50, 52: 50}
 
