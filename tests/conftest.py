@@ -20,6 +20,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites slow the building of long expressions
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp())
         .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp())
         .getOrCreate()
