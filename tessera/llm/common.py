@@ -52,19 +52,21 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(0))
 
 
-def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """doc_ids and texts of consecutive batches, of TOGETHER characters or little more."""
+def together(batches: Iterator[pa.RecordBatch], most: int = TOGETHER) -> Iterator[tuple[pa.Array, list[str]]]:
+    """doc_ids and texts of consecutive rows, of most characters or what one text has beyond."""
     doc_ids: list[pa.Array] = []
     held: list[str] = []
     size = 0
     for b in batches:
-        doc_ids.append(b.column("doc_id"))
-        new = [t or "" for t in b.column("text").to_pylist()]
-        held += new
-        size += sum(map(len, new))
-        if size >= TOGETHER:
-            yield pa.concat_arrays(doc_ids), held
-            doc_ids, held, size = [], [], 0
+        ids, first = b.column("doc_id"), 0
+        for k, t in enumerate(b.column("text"), 1):
+            held.append(t.as_py() or "")
+            size += len(held[-1])
+            if size >= most:
+                yield pa.concat_arrays([*doc_ids, ids[first:k]]), held
+                doc_ids, held, size, first = [], [], 0, k
+        if first < len(ids):
+            doc_ids.append(ids[first:])
     if held:
         yield pa.concat_arrays(doc_ids), held
 

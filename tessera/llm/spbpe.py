@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from tessera.llm.common import gathered, small_batches, texts, together, told_apart
 
 MARK = "▁"
-#: Chunks that a worker keeps; the table is emptied when full.
-KEEP = 400_000
+#: Chunks and pairs of neighbours that a worker keeps (about 350 bytes each); a table is emptied when full.
+KEEP, KEEP_PAIRS = 200_000, 250_000
+#: Characters of texts that are encoded together: about 100 bytes each are held meanwhile.
+TOGETHER = 1_500_000
 
 
 def _varint(b: bytes, at: int) -> tuple[int, int]:
@@ -106,7 +108,7 @@ class Model:
 
     def fits(self, left: str, right: str) -> bool:
         if (got := self._fits.get((left, right))) is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) >= KEEP_PAIRS:
                 self._fits.clear()
             got = self._fits[left, right] = not left or self.merged(left + right) == [left, right]
         return got
@@ -285,7 +287,7 @@ def encode_documents(docs: DataFrame, path: str, with_text: bool = False) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         sha = hashlib.sha256
-        for doc_ids, held in together(batches):
+        for doc_ids, held in together(batches, TOGETHER):
             rows = own.batch(held)
             cols = [
                 doc_ids,
