@@ -1,9 +1,10 @@
 """SimHash near-duplicates at a wide radius: texts whose sets of word shingles have a Jaccard similarity of `least`.
 
-At a similarity of 0.8 two fingerprints of 64 bits differ in about 10 bits and seldom in over 20, too many for shards
-by blocks of their bits (simhash). So shards are keyed here by min-hashes instead: candidates share one of BANDS bands of
-ROWS min-hashes each, a pair at similarity 0.8 is missed with probability (1 - 0.8 ** ROWS) ** BANDS, about 1 in 8
-million, and a closer one more rarely. Bands are joined by stars, never by pairs; each group of candidates builds a
+Fingerprints within simhash.RADIUS bits are candidates by the shards and BK-trees of simhash.shard_edges, all of them. At
+a similarity of 0.8 two fingerprints of 64 bits differ in about 10 bits and seldom in over 20, too many for shards by
+blocks of their bits, so texts farther apart meet in shards keyed by min-hashes besides: candidates share one of BANDS
+bands of ROWS min-hashes each, a pair at similarity 0.8 is missed with probability (1 - 0.8 ** ROWS) ** BANDS, about 1 in
+8 million, and a closer one more rarely. Either kind is joined by stars, never by pairs; each group of candidates builds a
 BK-tree of its fingerprints, follows only edges within RADIUS bits, and of the pairs that this leaves each is a link
 only if the exact similarity of its sets reaches `least`. Two members already in one component are not compared. A group
 of over GROUP members is confirmed by pairs of its blocks, so a task holds the sets of two blocks and no more.
@@ -103,16 +104,17 @@ def groups(sets: list[np.ndarray], least: float, radius: int | None = None) -> l
 
 
 def _marked(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, the digests of the text and of its set, and the bands."""
+    """doc_id, the digests of the text and of its set, the set's fingerprint and the bands."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t, width) for t in b.column("text").to_pylist()]
             keys = pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in found], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), keys, pa.array([bands(s) for s in found], pa.list_(pa.int64()))], ["doc_id", "digest", "key", "bands"])
+            fps = pa.array(np.array([simhash.majority(s) for s in found], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), keys, fps, pa.array([bands(s) for s in found], pa.list_(pa.int64()))], ["doc_id", "digest", "key", "fp", "bands"])
 
-    return texts(docs).withColumn("digest", simhash.digest(F.col("text"))).mapInArrow(run, "doc_id long, digest string, key string, bands array<long>")
+    return texts(docs).withColumn("digest", simhash.digest(F.col("text"))).mapInArrow(run, "doc_id long, digest string, key string, fp long, bands array<long>")
 
 
 def _confirmed(width: int, least: float):
@@ -138,15 +140,31 @@ def _confirmed(width: int, least: float):
     return run
 
 
+def near_edges(reps: DataFrame, total: int) -> DataFrame:
+    """Edges (a, b) that connect exactly the keys whose fingerprints (column fp) are connected within simhash.RADIUS bits.
+
+    The keys of a fingerprint are a star about the first of them, and the first ones have the shards' edges.
+    """
+    first = settled(reps.groupBy("fp").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")))
+    linked = settled(simhash.shard_edges(first.select("fp")).distinct())
+    hubs = simhash.hot_keys(linked.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b", linked.count())
+    a, b = (first.select(F.col("fp").alias(f"_{x}"), F.col("first").alias(f"key_{x}")) for x in "ab")
+    edges = simhash.spread_join(linked.join(a, F.col("a") == F.col("_a")), b, "b", "_b", hubs).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    several = first.filter("n > 1").select(F.col("fp").alias("_fp"), "first", "n")
+    same = simhash.spread_join(reps.select("key", "fp"), several, "fp", "_fp", simhash.hot_keys(several, "_fp", total))
+    return edges.unionByName(same.filter("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")))
+
+
 def members(docs: DataFrame, least: float = LEAST, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, digest (of the text), key (of the set) and component_id for every row of docs."""
     marked = settled(_marked(docs, width))
-    reps = settled(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("digest").alias("digest"), F.min("bands").alias("bands")))
+    reps = settled(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("digest").alias("digest"), F.min("fp").alias("fp"), F.min("bands").alias("bands")))
+    total = reps.count()
     banded = reps.select("key", F.explode("bands").alias("band"))
     shared = settled(banded.groupBy("band").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    often = simhash.hot_keys(shared, "band", reps.count())
+    often = simhash.hot_keys(shared, "band", total)
     stars = simhash.spread_join(banded, shared.select(F.col("band").alias("_band"), "first"), "band", "_band", often)
-    stars = stars.filter("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")).distinct()
+    stars = stars.filter("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")).unionByName(near_edges(reps, total)).distinct()
     candidates = settled(simhash.components(stars).select(F.col("node").alias("key"), F.col("comp").alias("own")).join(reps.select("key", "digest"), "key"))
     sizes = candidates.groupBy("own").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > GROUP).select(F.col("own").alias("comp"), F.ceil(F.col("n") / GROUP).cast("int").alias("blocks"))
