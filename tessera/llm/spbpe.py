@@ -15,6 +15,7 @@ and very long texts are kept as they are; repeated rows are all returned; other
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 from array import array
@@ -85,14 +86,46 @@ class Model:
         self.begin, self.end = self.pieces.index("<s>"), self.pieces.index("</s>")
         self.score = {p: self.scores[i] for p, i in self.ids.items()}
         self.cuts_lines = not any("\n" in p for p in self.ids)
-        self._fits: dict[tuple[str, str], bool] = {}
+        self.base = len(self.pieces)
+        self._fits: dict[int, bool] = {}
+        self._steps_of: dict[int, list[tuple[float, str, str]]] = {}
+        self.size = list(map(len, self.pieces))
         self.automaton = ahocorasick.Automaton()
-        for p in self.ids:
-            if len(p) > 1 and self.merged(p) == [p]:  # others never result from merging
-                self.automaton.add_word(p, len(p))
+        for p, i in self.ids.items():
+            if len(p) > 1 and self._whole(p):  # others never result from merging
+                self.automaton.add_word(p, (len(p), i))
+        self.shorter = [-1] * self.base  # of each piece the next shorter that it begins with
+        for p, (size, i) in self.automaton.items():
+            shorter = next((p[:k] for k in range(size - 1, 1, -1) if p[:k] in self.automaton), p[0])
+            self.shorter[i] = self.number(shorter)
         self.automaton.make_automaton()
         self.bytes_of = [self._bytes(i) for i in range(len(self.pieces))]
 
+    def number(self, symbol: str) -> int:
+        """A piece's id; of a character without a piece, its code point after all ids."""
+        return self.base + ord(symbol) if (i := self.ids.get(symbol)) is None else i
+
+    def text(self, number: int) -> str:
+        return self.pieces[number] if number < self.base else chr(number - self.base)
+
+    def _steps(self, text: str) -> list[tuple[float, str, str]]:
+        """Before each merge and after the last: the score of the merge (then -inf), the first and the last symbol."""
+        symbols, steps = list(text), []
+        while True:
+            best, at = -math.inf, -1
+            for i in range(len(symbols) - 1):
+                s = self.score.get(symbols[i] + symbols[i + 1])
+                if s is not None and (at < 0 or s > best):
+                    best, at = s, i
+            steps.append((best, symbols[0], symbols[-1]))
+            if at < 0:
+                return steps
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+
+    def _whole(self, text: str) -> bool:
+        """Whether text merges to itself."""
+        return self._steps(text)[-1][1] == text
+
     def merged(self, text: str) -> list[str]:
         """Symbols of text after all merges, best score first, leftmost of equals: the definition, for short texts."""
         symbols = list(text)
@@ -106,81 +139,92 @@ class Model:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def fits(self, left: str, right: str) -> bool:
-        if (got := self._fits.get((left, right))) is None:
+    def fits(self, left: int, right: int) -> bool:
+        """Whether merging the joined text of two neighbours, each of which merges to itself, gives the same two.
+
+        The merges inside either go on as if alone until one across the border is the best, the leftmost of equals.
+        """
+        key = left << 32 | right
+        if (got := self._fits.get(key)) is None:
             if len(self._fits) >= KEEP_PAIRS:
                 self._fits.clear()
-            got = self._fits[left, right] = not left or self.merged(left + right) == [left, right]
+            got = self._fits[key] = self._apart(self._alone(left), self._alone(right))
         return got
 
-    def symbols(self, chunk: str) -> list[str]:
-        """The pieces (or characters without one) that merging chunk gives."""
-        n = len(chunk)
-        if n == 1:
-            return [chunk]
-        out: list[str] = []
-        pos, last = 0, ""
-        fits, known = self.fits, self._fits.get
-        for end, size in self.automaton.iter_long(chunk):  # the longest match at each place, as a rule the encoding
-            while pos <= end - size:
-                out.append(chunk[pos])
-                pos += 1
-            out.append(chunk[pos : end + 1])
-            pos = end + 1
-        out += chunk[pos:]
-        for s in out:
-            ok = known((last, s))
-            if not (ok or ok is None and fits(last, s)):
-                return self._searched(chunk)
-            last = s
-        return out
+    def _alone(self, number: int) -> list[tuple[float, str, str]]:
+        if number >= self.base:
+            return self._steps(chr(number - self.base))
+        if (got := self._steps_of.get(number)) is None:
+            got = self._steps_of[number] = self._steps(self.pieces[number])
+        return got
+
+    def _apart(self, left: list, right: list) -> bool:
+        i = j = 0
+        (a, _, x), (b, y, _) = left[0], right[0]
+        while True:
+            across = self.score.get(x + y)
+            if across is not None and across > a and across >= b:
+                return False
+            if a >= b:
+                if a == -math.inf:
+                    return True
+                i += 1
+                a, _, x = left[i]
+            else:
+                j += 1
+                b, y, _ = right[j]
 
-    def _searched(self, chunk: str) -> list[str]:
-        """The same by trying shorter matches where longer ones lead nowhere."""
-        n = len(chunk)
-        at: list[list[int]] = [[1] for _ in range(n)]  # lengths that match at each place, ascending
-        for end, size in self.automaton.iter(chunk):
-            at[end - size + 1].append(size)
-        fits, known = self.fits, self._fits.get
+    def numbers(self, chunk: str) -> list[int]:
+        """The pieces (or characters without one) that merging chunk gives, as numbers."""
+        n, base, size, shorter, known = len(chunk), self.base, self.size, self.shorter, self._fits.get
+        if n == 1:
+            return [self.number(chunk)]
+        longest = [-1] * n
+        for end, (length, i) in self.automaton.iter(chunk):  # by ends, so a longer one at the same place comes later
+            longest[end - length + 1] = i
         failed = bytearray((n >> 3) + 1)  # bitfield: places from which the rest can't be encoded
-        out: list[str] = []
-        left: list[int] = []  # for each symbol, which of its place's lengths it took
-        pos, k, last = 0, len(at[0]) - 1, ""
+        out: list[int] = []
+        pos, last = 0, -1
+        if (s := longest[0]) < 0:
+            s = self.number(chunk[0])
         while True:
-            sizes = at[pos]
-            while k >= 0:
-                end = pos + sizes[k]
+            while s >= 0:
+                end = pos + (size[s] if s < base else 1)
                 if not failed[end >> 3] >> (end & 7) & 1:
-                    s = chunk[pos:end]
-                    ok = known((last, s))
-                    if ok or ok is None and fits(last, s):
+                    if last < 0 or known(key := last << 32 | s) or key not in self._fits and self.fits(last, s):
                         break
-                k -= 1
-            if k >= 0:
+                s = shorter[s] if s < base else -1
+            if s >= 0:
                 out.append(s)
                 if end == n:
                     return out
-                left.append(k)
-                pos, last, k = end, s, len(at[end]) - 1
+                pos, last = end, s
+                if (s := longest[pos]) < 0:
+                    s = self.number(chunk[pos])
             else:
                 failed[pos >> 3] |= 1 << (pos & 7)
                 if not out:
                     raise AssertionError("every text has an encoding")
-                pos -= len(out.pop())
-                k, last = left.pop() - 1, out[-1] if out else ""
+                s = out.pop()
+                pos -= size[s] if s < base else 1
+                s = shorter[s] if s < base else -1
+                last = out[-1] if out else -1
+
+    def symbols(self, chunk: str) -> list[str]:
+        """The texts of numbers(chunk)."""
+        return list(map(self.text, self.numbers(chunk)))
 
     def ids_of(self, chunk: str) -> list[int]:
         """Ids of a chunk. Long ones (no spaces) go through the same search; their cost is linear but for backtracking."""
-        symbols, ids = self.symbols(chunk), self.ids
-        try:
-            return [ids[s] for s in symbols]
-        except KeyError:  # a character that is no piece
-            out = []
-        for s in symbols:
-            if s in ids:
-                out.append(ids[s])
-            elif self.byte_ids:
-                out += [self.byte_ids[b] for b in s.encode()]
+        numbers = self.numbers(chunk)
+        if max(numbers) < self.base:
+            return numbers
+        out = []
+        for i in numbers:
+            if i < self.base:
+                out.append(i)
+            elif self.byte_ids:  # a character that is no piece
+                out += [self.byte_ids[b] for b in chr(i - self.base).encode()]
             else:
                 out.append(self.unknown)
         return out
