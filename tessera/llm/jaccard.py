@@ -155,6 +155,17 @@ def near_edges(reps: DataFrame, total: int) -> DataFrame:
     return edges.unionByName(same.filter("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")))
 
 
+def hub_edges(met: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what the rows (key, first) of met connect, the first keys of a key's bands.
+
+    A key has at most BANDS of them. It goes to the least, and so do the others, as edges that near copies share: a group
+    of n copies that meet in all bands gives about n edges instead of n * BANDS.
+    """
+    of = met.groupBy("key").agg(F.collect_set("first").alias("hubs"))
+    least = F.array_min("hubs").alias("b")
+    return of.select(F.explode(F.array_union(F.array("key"), "hubs")).alias("a"), least).filter("a <> b").distinct()
+
+
 def members(docs: DataFrame, least: float = LEAST, width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, digest (of the text), key (of the set) and component_id for every row of docs."""
     marked = settled(_marked(docs, width))
@@ -164,7 +175,7 @@ def members(docs: DataFrame, least: float = LEAST, width: int = SHINGLE_WORDS) -
     shared = settled(banded.groupBy("band").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     often = simhash.hot_keys(shared, "band", total)
     stars = simhash.spread_join(banded, shared.select(F.col("band").alias("_band"), "first"), "band", "_band", often)
-    stars = stars.filter("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")).unionByName(near_edges(reps, total)).distinct()
+    stars = hub_edges(stars.select("key", "first")).unionByName(near_edges(reps, total)).distinct()
     candidates = settled(simhash.components(stars).select(F.col("node").alias("key"), F.col("comp").alias("own")).join(reps.select("key", "digest"), "key"))
     sizes = candidates.groupBy("own").agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > GROUP).select(F.col("own").alias("comp"), F.ceil(F.col("n") / GROUP).cast("int").alias("blocks"))
