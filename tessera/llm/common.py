@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from tessera.sources.shared import shared_dir
 BATCH_ROWS = 512
 #: Characters of texts that are encoded together.
 TOGETHER = 1 << 23
+#: A driver whose heap may take at most so many bytes collects its garbage, after so many seconds again.
+SMALL_HEAP, TIDY_S = 4 << 30, 10
 #: Ids of a label that are ranked, as a multiple of those wanted, and labels that can be learned.
 SLACK, MOST_LABELS = 4, 1000
 
@@ -24,7 +27,24 @@ SLACK, MOST_LABELS = 4, 1000
 def settled(df: DataFrame) -> DataFrame:
     """The rows of df, written to the shared folder: computed once, and read again if an executor is lost."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    tidy(df.sparkSession)
+    return out
+
+
+_TIDIED = [0.0]
+
+
+def tidy(spark: SparkSession) -> None:
+    """Have a small driver collect its garbage, if TIDY_S have passed since the last time.
+
+    Steps leave plans and the states of tasks and stages, hardly any of which lives on, but its heap grows by them and stays
+    large until a full collection.
+    """
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if time.monotonic() - _TIDIED[0] >= TIDY_S and heap.maxMemory() <= SMALL_HEAP:
+        spark._jvm.java.lang.System.gc()
+        _TIDIED[0] = time.monotonic()
 
 
 def remove(spark: SparkSession, folder: str) -> None:
